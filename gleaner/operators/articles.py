@@ -10,8 +10,8 @@ from ..schema import ARTICLE_COLUMNS
 from .catalog import scrape_method
 
 
-def project_articles(df: DataFrame, as_of: str) -> DataFrame:
-    """Build the article columns.
+def project_articles(df: DataFrame, as_of: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Build the article columns, followed by the input columns named in ``keep``.
 
     Expects source, source_name, method, url, title, author, published_date
     (ISO text), content_text and tags.
@@ -30,7 +30,7 @@ def project_articles(df: DataFrame, as_of: str) -> DataFrame:
             ),
         }
     )
-    return built.select(*ARTICLE_COLUMNS)
+    return built.select(*ARTICLE_COLUMNS, *keep)
 
 
 def with_required_fields(df: DataFrame, min_chars: int = 0) -> DataFrame:

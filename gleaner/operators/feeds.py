@@ -109,6 +109,8 @@ def entry_fields(entries: DataFrame) -> DataFrame:
         ),
         "content_text",
         fields.merged_tags(F.col("default_tags"), terms, text.strip).alias("tags"),
+        "fetched_at",
+        "pos",
     )
 
 

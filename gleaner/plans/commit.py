@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import filters
 from ..operators.registry import registry_rows
+from ..operators.store import latest
 from ..params import RunParams
+from ..schema import ARTICLE_COLUMNS
 from ..session import scratch_dir
 from ..sources import tables
 
@@ -32,7 +34,11 @@ def commit_run(judged: DataFrame, store_path: str, run_seq: int, params: RunPara
     """
     rows = materialised(judged)
     taken = filters.accepted(rows)
-    tables.save_articles(taken, store_path, run_seq, [F.desc("scraped_at"), F.desc("word_count"), F.col("title")])
+    if "pos" in taken.columns:
+        # the same URL twice in a feed: the later entry is the one that stays
+        taken = latest(taken, "id", [F.desc("fetched_at"), F.desc("pos")])
+    taken = taken.select(*ARTICLE_COLUMNS)
+    tables.save_articles(taken, store_path, run_seq)
     tables.save_manifest(taken, store_path, run_seq)
     if not params.dry_run:
         tables.save_registry(registry_rows(taken), store_path, run_seq)

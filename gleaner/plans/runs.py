@@ -35,10 +35,9 @@ def feed_run(
     written = feed_ops.feed_text(sourced)
     if pages is not None:
         written = feed_ops.enrich_short(written, pages)
-    built = articles.with_required_fields(feed_ops.entry_fields(written))
-    return filters.with_reason(
-        articles.project_articles(built, params.as_of), params.as_of, params.filters
-    )
+    complete = articles.with_required_fields(feed_ops.entry_fields(written))
+    built = articles.project_articles(complete, params.as_of, keep=("fetched_at", "pos"))
+    return filters.with_reason(built, params.as_of, params.filters)
 
 
 def page_run(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import store
 from ..operators.documents import render_documents
 from ..operators.registry import registry_from_json, registry_json
-from ..schema import ARTICLE, FEEDS_RAW, MANIFEST, PAGES, REGISTRY
+from ..schema import ARTICLE, ARTICLE_COLUMNS, FEEDS_RAW, MANIFEST, PAGES, REGISTRY
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -49,10 +49,9 @@ def _write_run(df: DataFrame, path: str, run_seq: int, *partitions: str) -> None
     writer.partitionBy(*partitions, "run_seq").parquet(path)
 
 
-def save_articles(articles: DataFrame, store_path: str, run_seq: int, order: list | None = None) -> None:
-    """Append a run's articles; within the run the last row of an id wins."""
-    rows = articles if order is None else store.latest(articles, "id", order)
-    _write_run(rows, f"{store_path}/articles", run_seq, "source")
+def save_articles(articles: DataFrame, store_path: str, run_seq: int) -> None:
+    """Append a run's articles; an id stored before is replaced when it is read."""
+    _write_run(articles.select(*ARTICLE_COLUMNS), f"{store_path}/articles", run_seq, "source")
 
 
 def read_article_versions(spark: SparkSession, store_path: str) -> DataFrame:
