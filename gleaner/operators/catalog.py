@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .skew import first_per_group, join_dimension
 
-_METHOD_RANK = F.when(F.col("method") == "rss", 0).otherwise(1)
-
 
 def with_defaults(catalog: DataFrame) -> DataFrame:
     """Fill the optional fields of a catalog."""
@@ -37,7 +35,8 @@ def all_sources(rss: DataFrame, html: DataFrame) -> DataFrame:
 
 def prefer_feeds(catalog: DataFrame) -> DataFrame:
     """One row per source id; the feed wins over the page entry."""
-    return first_per_group(catalog, ["source_id"], [_METHOD_RANK], 1)
+    feed_first = F.when(F.col("method") == "rss", 0).otherwise(1)
+    return first_per_group(catalog, ["source_id"], [feed_first], 1)
 
 
 def select_sources(

@@ -90,26 +90,42 @@ def _unit(rows) -> np.ndarray:
 _SCORED = "query_id bigint, doc_id bigint, score double, low double, high double"
 
 
-def _best_of_batch(docs: pd.DataFrame, ids, matrix: np.ndarray, k: int):
-    """The best ``k`` documents of a batch for each query, plus the batch's range.
+def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    order = rows.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
+    return order.groupby("query_id", sort=False).head(k)
 
-    Only the best of a batch can be among the best of all, so at most k rows per
-    query and batch leave a task instead of one per document.
-    """
+
+def _best_of_batch(docs: pd.DataFrame, ids, matrix: np.ndarray, k: int) -> pd.DataFrame:
+    """The best ``k`` documents of a batch for each query, plus the batch's range."""
     scores = np.round(_unit(docs["vector"]) @ matrix.T, DIGITS)
     doc_ids = docs["doc_id"].to_numpy()
     low, high = scores.min(axis=0), scores.max(axis=0)
+    found = []
     for q, query_id in enumerate(ids):
         best = np.lexsort((doc_ids, -scores[:, q]))[:k]
-        yield pd.DataFrame(
-            {
-                "query_id": query_id,
-                "doc_id": doc_ids[best],
-                "score": scores[best, q],
-                "low": low[q],
-                "high": high[q],
-            }
-        )
+        rows = {"query_id": query_id, "doc_id": doc_ids[best], "score": scores[best, q]}
+        found.append(pd.DataFrame({**rows, "low": low[q], "high": high[q]}))
+    return pd.concat(found, ignore_index=True)
+
+
+def _best_of_task(batches, ids, matrix: np.ndarray, k: int):
+    """Running best over a task's batches.
+
+    Only the best of a task can be among the best of all, so k rows per query
+    leave it instead of one per document.
+    """
+    held = None
+    for batch in batches:
+        if batch.empty:
+            continue
+        found = _best_of_batch(batch, ids, matrix, k)
+        if held is not None:
+            found = pd.concat([held, found], ignore_index=True)
+            found["low"] = found.groupby("query_id")["low"].transform("min")
+            found["high"] = found.groupby("query_id")["high"].transform("max")
+        held = _best(found, k)
+    if held is not None:
+        yield held
 
 
 def _scored_batches(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -127,9 +143,7 @@ def _scored_batches(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ids, matrix = [r["query_id"] for r in held], _unit([r["vector"] for r in held])
 
         def score(batches):
-            for batch in batches:
-                if not batch.empty:
-                    yield from _best_of_batch(batch, ids, matrix, k)
+            yield from _best_of_task(batches, ids, matrix, k)
 
         return vectors.mapInPandas(score, _SCORED)
 
@@ -149,7 +163,7 @@ def _scored_batches(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def score_block(d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if d.empty or q.empty:
             return pd.DataFrame(columns=["query_id", "doc_id", "score", "low", "high"])
-        return pd.concat(_best_of_batch(d, q["query_id"].to_numpy(), _unit(q["vector"]), k))
+        return _best_of_batch(d, q["query_id"].to_numpy(), _unit(q["vector"]), k)
 
     pairs = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard"))
     return pairs.applyInPandas(score_block, _SCORED)
@@ -188,7 +202,8 @@ def hybrid_scores(
     lex_range = lexical.groupBy("query_id").agg(
         F.min("lex").alias("lex_low"), F.max("lex").alias("lex_high")
     )
-    batches = _scored_batches(docs, queries, k)
+    # one exchange by query serves both the range and the nearest documents
+    batches = _scored_batches(docs, queries, k).repartition("query_id")
     sem_range = batches.groupBy("query_id").agg(
         F.min("low").alias("sem_low"), F.max("high").alias("sem_high")
     )
@@ -197,7 +212,10 @@ def hybrid_scores(
     doc_side = docs.select("doc_id", F.col("vector").alias("_d"))
     with_vectors = join_dimension(lexical.join(doc_side, "doc_id"), query_side, "query_id", "left")
     matched = with_vectors.select(*pair, "lex", F.round(cosine(F.col("_d"), F.col("_q")), DIGITS).alias("sem"))
-    nearest = batches.select(*pair, F.lit(None).cast("double").alias("lex"), F.col("score").alias("sem"))
+    nearest = first_per_group(batches, ["query_id"], [F.desc("score"), F.col("doc_id")], k)
+    nearest = nearest.select(
+        *pair, F.lit(None).cast("double").alias("lex"), F.col("score").alias("sem")
+    )
     merged = matched.unionByName(nearest).groupBy(*pair).agg(
         F.max("lex").alias("lex"), F.max("sem").alias("sem")
     )
@@ -262,9 +280,8 @@ def citation_check(answers: DataFrame) -> DataFrame:
     than once in a sentence) and ``uncited`` (sentences without a citation).
     """
     found = F.regexp_extract_all("text", F.lit(_CITATION), F.lit(1))
-    sentences = F.filter(
-        F.split(F.col("text"), r"(?<=[.!?])(?:\s+|\z)"), lambda s: F.trim(s) != ""
-    )
+    marked = F.regexp_replace("text", r"([.!?])(\s+|\z)", "$1\x01")
+    sentences = F.filter(F.split(marked, "\x01"), lambda s: F.trim(s) != "")
 
     def ids(s: Column) -> Column:
         return F.regexp_extract_all(s, F.lit(_CITATION), F.lit(1))
