@@ -24,14 +24,20 @@ _MARKUP = (
     r"|</?[a-z][^>]*>"
     r"|<[!?][^>]*>"
 )
-_INVISIBLE = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>"
+_DROPPED = (
+    r"(?is)<!--.*?-->"
+    r"|<(script|style|noscript|template|nav|footer|aside|header|form)\b[^>]*>.*?</\1\s*>"
+)
 _REGIONS = ("article", "main", "body")
-_BOILERPLATE = r"(?is)<(nav|footer|aside|header|form)\b[^>]*>.*?</\1\s*>"
 _BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure"
     r"|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th"
     r"|thead|tr|ul)\b[^>]*>"
 )
+# Runs of Unicode whitespace other than line breaks; a lone space does not match,
+# so ordinary text is scanned without a replacement per word.
+_RARE_SPACE = r"\t\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACES = rf"[{_RARE_SPACE}][ {_RARE_SPACE}]*| [ {_RARE_SPACE}]+"
 _ANY_TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 _ENTITY = r"\A(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
@@ -86,7 +92,10 @@ def unescape(c: Column) -> Column:
         tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
         return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
 
-    return F.when(F.contains(c, F.lit("&")), let(F.split(c, "&"), joined)).otherwise(c)
+    def guarded(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit("&")), let(F.split(t, "&"), joined)).otherwise(t)
+
+    return let(c, guarded)
 
 
 def fragment_text(html: Column) -> Column:
@@ -95,30 +104,37 @@ def fragment_text(html: Column) -> Column:
     Markup becomes a control character first, so line breaks inside a node stay.
     """
     nodes = F.split(unescape(F.regexp_replace(html, _MARKUP, _BREAK)), _BREAK)
-    return F.array_join(F.filter(F.transform(nodes, strip), lambda t: t != ""), "\n")
+    return joined_lines(F.transform(nodes, strip))
+
+
+def joined_lines(lines: Column) -> Column:
+    return F.array_join(F.filter(lines, lambda t: t != ""), "\n")
+
+
+def _inside_or(html: Column, tag: str, fallback: Column) -> Column:
+    inside = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\b", 1)
+    return let(inside, lambda t: F.when(t != "", t).otherwise(fallback))
 
 
 def _region(html: Column) -> Column:
-    chosen = None
-    for tag in _REGIONS:
-        span = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\b", 1)
-        found = html.rlike(rf"(?is)<{tag}\b[^>]*>.*</{tag}\b")
-        chosen = F.when(found, span) if chosen is None else chosen.when(found, span)
-    return chosen.otherwise(html)
+    """Inside of the article, else main, else body element, else everything."""
+    chosen = html
+    for tag in reversed(_REGIONS):
+        chosen = _inside_or(html, tag, chosen)
+    return chosen
 
 
 def main_text(html: Column) -> Column:
     """Readable text of a page.
 
-    Comments, scripts and styles go first; then the article, else main, else body
-    region is taken, navigation and other boilerplate removed, block tags turned
-    into line breaks, and blank lines and repeated spaces collapsed.
+    Comments, scripts, styles and boilerplate elements go first; then the
+    article, else main, else body region is taken, block tags become line breaks,
+    and blank lines and repeated spaces collapse.
     """
-    region = let(F.regexp_replace(html, _INVISIBLE, ""), _region)
-    body = F.regexp_replace(region, _BOILERPLATE, "")
-    lines = F.regexp_replace(F.regexp_replace(body, _BLOCK_TAG, "\n"), _ANY_TAG, "")
-    plain = F.regexp_replace(unescape(lines), r"(?U)[\s\x1c-\x1f&&[^\n]]+", " ")
-    return strip(F.regexp_replace(plain, r" ?\n[ \n]*", "\n"))
+    region = let(F.regexp_replace(html, _DROPPED, ""), _region)
+    lines = F.regexp_replace(F.regexp_replace(region, _BLOCK_TAG, "\n"), _ANY_TAG, "")
+    spaced = F.regexp_replace(unescape(lines), _SPACES, " ")
+    return joined_lines(F.transform(F.split(spaced, "\n"), lambda t: F.trim(t)))
 
 
 def page_title(html: Column) -> Column:

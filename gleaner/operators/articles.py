@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fields, text
-from ..functions.expr import blank_to_null, with_computed
+from ..functions.expr import blank_to_null
 from ..schema import ARTICLE_COLUMNS
 from .catalog import scrape_method
 
@@ -14,10 +14,11 @@ def project_articles(df: DataFrame, as_of: str, keep: tuple[str, ...] = ()) -> D
     """Build the article columns, followed by the input columns named in ``keep``.
 
     Expects source, source_name, method, url, title, author, published_date
-    (ISO text), content_text and tags.
+    (ISO text), content_text and tags. Plain columns throughout: whoever needs
+    only ids or URLs never reads the text.
     """
-    content = F.coalesce("content_text", F.lit(""))
-    counted = with_computed(df, content_text=content, word_count=text.word_count(content))
+    content = df.withColumn("content_text", F.coalesce("content_text", F.lit("")))
+    counted = content.withColumn("word_count", text.word_count(F.col("content_text")))
     built = counted.withColumns(
         {
             "id": fields.article_id(F.col("source"), F.col("url")),

@@ -63,8 +63,12 @@ def reject_reason(as_of: str, params: FilterParams) -> Column:
 
 
 def with_reason(articles: DataFrame, as_of: str, params: FilterParams) -> DataFrame:
-    """Add ``reason``; all tests run once per row, however often it is filtered."""
-    return with_computed(articles, reason=reject_reason(as_of, params))
+    """Add ``reason``; words are counted and tests run once per row.
+
+    The word count is held first, because the reason reads it more than once.
+    """
+    counted = with_computed(articles, word_count=F.col("word_count"))
+    return with_computed(counted, reason=reject_reason(as_of, params))
 
 
 def accepted(judged: DataFrame) -> DataFrame:
@@ -76,7 +80,8 @@ def lookback_filter(articles: DataFrame, as_of: str, days: int | None) -> DataFr
 
 
 def word_count_filter(articles: DataFrame, low: int = 0, high: int | None = None) -> DataFrame:
-    return articles.where(within_words(F.col("word_count"), low, high))
+    counted = with_computed(articles, word_count=F.col("word_count"))
+    return counted.where(within_words(F.col("word_count"), low, high))
 
 
 def keyword_filter(articles: DataFrame, keywords) -> DataFrame:

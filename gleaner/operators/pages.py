@@ -54,10 +54,7 @@ def cap_pages(candidates: DataFrame, n: int = MAX_PER_SOURCE, order: str = "plac
 def extract_pages(pages: DataFrame) -> DataFrame:
     """Add content_text, title and published_date; the html column is dropped."""
     html, url = F.col("html"), F.col("url")
-    extracted = with_computed(
-        pages,
-        content_text=text.main_text(html),
-        title=text.page_title(html),
-        published_date=dates.page_date(html, url),
-    )
-    return extracted.drop("html")
+    # the text and the title are tested next, so they are held; the date is not
+    dated = pages.withColumn("published_date", dates.page_date(html, url))
+    held = with_computed(dated, content_text=text.main_text(html), title=text.page_title(html))
+    return held.drop("html")

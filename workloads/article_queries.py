@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fields, text
 from gleaner.operators import articles as article_ops, catalog, documents, filters, registry as reg, store
+from gleaner.plans.commit import materialised
 from gleaner.session import scratch_dir
 from gleaner.sources import tables
 
@@ -158,7 +159,8 @@ def registry_scan(spark, sf_dir):
 )
 def registry_build(spark, sf_dir):
     taken = filters.accepted(filters.with_reason(i.articles(spark, sf_dir), i.AS_OF, i.FILTERS))
-    arrays = reg.registry_arrays(reg.registry_union(i.registry(spark, sf_dir), taken))
+    merged = materialised(reg.registry_union(i.registry(spark, sf_dir), taken))
+    arrays = reg.registry_arrays(merged)
     return arrays.select(
         "source", F.size("urls").cast("long").alias("n"), F.array_join("urls", " ").alias("urls")
     )

@@ -342,16 +342,18 @@ def scrape_all(spark, sf_dir):
 def page_corpus(spark, sf_dir):
     """Pages to articles: text, title, length, seen URLs, cap, totals per host."""
     pages = i.pages(spark, sf_dir).withColumn("source", urls.authority(F.col("url")))
-    fresh = unseen(pages, seen_pages(spark, sf_dir), keep_blank=False)
-    extracted = page_ops.extract_pages(fresh)
-    inputs = with_required_fields(extracted, 200).withColumns(
+    inputs = with_required_fields(page_ops.extract_pages(pages), 200).withColumns(
         {
             "source_name": F.col("source"), "method": F.lit("html"), "author": F.lit(""),
             "tags": F.array(F.lit("page")),
         }
     )
     built = project_articles(inputs, i.AS_OF, keep=("page_id",))
-    kept = first_per_group(filters.word_count_filter(built, 200, 50_000), ["source"], [F.col("page_id")], 50)
+    right_size = filters.word_count_filter(built, 200, 50_000)
+    # pages are read once and in place: only ids and counts reach the registry join
+    narrow = right_size.select("source", "url", "page_id", "word_count")
+    fresh = unseen(narrow, seen_pages(spark, sf_dir), keep_blank=False)
+    kept = first_per_group(fresh, ["source"], [F.col("page_id")], 50)
     return kept.groupBy("source").agg(
         F.count("*").alias("n_articles"), F.sum("word_count").alias("n_words")
     )
