@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates, fields, text
 from ..functions.expr import blank_to_null, with_computed
 from ..params import MAX_PER_SOURCE, SHORT_ENTRY_CHARS
-from .skew import first_per_group
+from .skew import first_per_group, join_dimension
 
 # Entries are cut out of the feed text first, so one broken entry, or a feed cut
 # off in the middle, does not lose the others.
@@ -125,14 +125,17 @@ def enrich_short(
     """Replace the text of short entries by the text of their landed page.
 
     Used only when the page text has more than ``min_chars`` characters and is
-    longer than the entry. Long entries stay out of the join, and text is
-    extracted only from pages that matched a short entry.
+    longer than the entry. Long entries stay out of the join; text is extracted
+    once per page, and only from pages that some short entry asks for. Those
+    URLs are broadcast when their size allows, so pages are not shuffled.
     """
     size = F.length("content_text")
     short = entries.where(size < min_chars)
     long = entries.where(F.coalesce(size >= min_chars, F.lit(True)))
-    html = one_page_per_url(pages.select("page_id", "url", "html")).select("url", "html")
-    matched = with_computed(short.join(html, "url", "left"), _page=text.main_text(F.col("html")))
+    wanted = short.where(F.col("url") != "").select("url").distinct()
+    asked = join_dimension(pages.select("page_id", "url", "html"), wanted, "url", "left_semi", skewed=False)
+    texts = one_page_per_url(asked).select("url", text.main_text(F.col("html")).alias("_page"))
+    matched = short.join(texts, "url", "left")
     better = (F.length("_page") > min_chars) & (F.length("_page") > size)
     swapped = matched.withColumn(
         "content_text", F.when(better, F.col("_page")).otherwise(F.col("content_text"))

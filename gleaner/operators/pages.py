@@ -42,8 +42,9 @@ def discover(listings: DataFrame, exclude_patterns=EXCLUDE_PATTERNS) -> DataFram
     Expects source, base_url, page_id and html.
     """
     links = same_site(resolve_links(skip_links(page_links(listings), exclude_patterns)))
-    placed = links.withColumn("place", F.struct("page_id", "pos"))
-    return dedup_links(placed, ["source", "url"], "place")
+    # one number keeps the minimum a hash aggregate; a struct would be sorted
+    place = F.col("page_id").cast("decimal(19,0)") * F.lit(1 << 32) + F.col("pos")
+    return dedup_links(links.withColumn("place", place), ["source", "url"], "place")
 
 
 def cap_pages(candidates: DataFrame, n: int = MAX_PER_SOURCE, order: str = "place") -> DataFrame:

@@ -17,6 +17,7 @@ from ..params import (
     SEMANTIC_WEIGHT,
     TOP_K,
 )
+from ..session import materialised
 from .skew import first_per_group, join_dimension
 
 K1 = 1.2
@@ -26,7 +27,7 @@ DIGITS = 9
 
 # Queries sent to every task when there are no more than this; documents per
 # group when there are.
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 1024
 DOC_SHARD = 20_000
 
 
@@ -57,7 +58,8 @@ def lexical_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
     ``docs``: doc_id, text, length. ``queries``: query_id, text.
     """
     wanted = query_terms(queries)
-    counts = term_counts(docs, wanted.select("term").distinct())
+    # read three times below: written once, so the texts are tokenised once
+    counts = materialised(term_counts(docs, wanted.select("term").distinct()), "terms")
     corpus = docs.agg(
         F.count("*").alias("n_docs"), (F.sum("length") / F.count("*")).alias("avg_length")
     ).first()
@@ -102,7 +104,10 @@ def _best_of_batch(docs: pd.DataFrame, ids, matrix: np.ndarray, k: int) -> pd.Da
     low, high = scores.min(axis=0), scores.max(axis=0)
     found = []
     for q, query_id in enumerate(ids):
-        best = np.lexsort((doc_ids, -scores[:, q]))[:k]
+        column = scores[:, q]
+        least = np.partition(column, -k)[-k] if len(column) > k else -np.inf
+        able = np.flatnonzero(column >= least)  # ties of the last place included
+        best = able[np.lexsort((doc_ids[able], -column[able]))[:k]]
         rows = {"query_id": query_id, "doc_id": doc_ids[best], "score": scores[best, q]}
         found.append(pd.DataFrame({**rows, "low": low[q], "high": high[q]}))
     return pd.concat(found, ignore_index=True)
@@ -198,12 +203,11 @@ def hybrid_scores(
     ``docs``: doc_id, text, length, vector. ``queries``: query_id, text, vector.
     """
     pair = ["query_id", "doc_id"]
-    lexical = lexical_scores(docs, queries).withColumnRenamed("score", "lex")
+    lexical = materialised(lexical_scores(docs, queries).withColumnRenamed("score", "lex"), "lexical")
     lex_range = lexical.groupBy("query_id").agg(
         F.min("lex").alias("lex_low"), F.max("lex").alias("lex_high")
     )
-    # one exchange by query serves both the range and the nearest documents
-    batches = _scored_batches(docs, queries, k).repartition("query_id")
+    batches = materialised(_scored_batches(docs, queries, k), "semantic")
     sem_range = batches.groupBy("query_id").agg(
         F.min("low").alias("sem_low"), F.max("high").alias("sem_high")
     )

@@ -9,22 +9,10 @@ from ..operators.registry import registry_rows
 from ..operators.store import latest
 from ..params import RunParams
 from ..schema import ARTICLE_COLUMNS
-from ..session import scratch_dir
+from ..session import materialised
 from ..sources import tables
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared folder and read back.
-
-    Several sinks read a run. A written table is computed once and survives the
-    loss of an executor, which cached blocks do not.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, "run") + "/rows"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def commit_run(judged: DataFrame, store_path: str, run_seq: int, params: RunParams, deliver=None) -> DataFrame:
     """Write articles and manifest, then registry and documents unless a dry run.
 
@@ -32,7 +20,7 @@ def commit_run(judged: DataFrame, store_path: str, run_seq: int, params: RunPara
     Accepted URLs are registered whether or not they were delivered; rejected
     ones never are. Returns counts per source and reason.
     """
-    rows = materialised(judged)
+    rows = materialised(judged, "run")
     taken = filters.accepted(rows)
     if "pos" in taken.columns:
         # the same URL twice in a feed: the later entry is the one that stays

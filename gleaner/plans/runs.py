@@ -10,6 +10,7 @@ from ..operators import articles, catalog as catalogs, feeds as feed_ops, filter
 from ..operators.registry import unseen
 from ..operators.skew import first_per_group, join_dimension
 from ..params import MIN_PAGE_CHARS, RunParams
+from ..session import materialised
 
 
 def feed_run(
@@ -34,7 +35,8 @@ def feed_run(
     sourced = catalogs.attach_source(keyed, catalogs.enabled_sources(catalog).where("method = 'rss'"))
     written = feed_ops.feed_text(sourced)
     if pages is not None:
-        written = feed_ops.enrich_short(written, pages)
+        # at most max_per_source entries per source are left: several branches read them
+        written = feed_ops.enrich_short(materialised(written, "entries"), pages)
     complete = articles.with_required_fields(feed_ops.entry_fields(written))
     built = articles.project_articles(complete, params.as_of, keep=("fetched_at", "pos"))
     return filters.with_reason(built, params.as_of, params.filters)
@@ -64,7 +66,7 @@ def page_run(
         found = unseen(found, registry, keep_blank=False)
     chosen = page_ops.cap_pages(found, params.max_per_source).select("source", "url")
 
-    landed = join_dimension(pages.select("page_id", "url", "html"), chosen, "url")
+    landed = join_dimension(pages.select("page_id", "url", "html"), chosen, "url", skewed=False)
     single = first_per_group(landed, ["source", "url"], [F.col("page_id")], 1)
     extracted = page_ops.extract_pages(single)
     named = catalogs.attach_source(

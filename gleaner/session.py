@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,3 +36,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         return tempfile.mkdtemp(prefix=f"gleaner-{label}-")
     return f"{base.rstrip('/')}/gleaner-{label}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, label: str = "rows") -> DataFrame:
+    """The rows written once to the shared folder and read back.
+
+    For results that several later steps read. A written table is computed once
+    and survives the loss of an executor, which cached blocks do not.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label) + "/rows"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

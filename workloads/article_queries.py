@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fields, text
 from gleaner.operators import articles as article_ops, catalog, documents, filters, registry as reg, store
-from gleaner.plans.commit import materialised
-from gleaner.session import scratch_dir
+from gleaner.session import materialised, scratch_dir
 from gleaner.sources import tables
 
 from . import inputs as i
