@@ -151,6 +151,11 @@ def page_title(html: Column) -> Column:
     return F.coalesce(clean(og), clean(heading), clean(title))
 
 
+def page_author(html: Column) -> Column:
+    """Author named in a meta tag, '' when there is none."""
+    return strip(unescape(meta_content(html, "name", "author")))
+
+
 def meta_content(html: Column, attribute: str, value: str) -> Column:
     """``content`` of the first meta tag with the given attribute; '' when absent."""
     tag = F.regexp_extract(

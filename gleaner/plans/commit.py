@@ -32,9 +32,7 @@ def commit_run(judged: DataFrame, store_path: str, run_seq: int, params: RunPara
         tables.save_registry(registry_rows(taken), store_path, run_seq)
         tables.save_documents(taken, store_path, run_seq)
         if deliver is not None:
-            documents = tables.read_documents(judged.sparkSession, store_path)
-            ids = taken.select("id").distinct()
-            tables.deliver(documents.join(ids, "id", "left_semi"), deliver)
+            tables.deliver(tables.read_documents(judged.sparkSession, store_path, run_seq), deliver)
     return rows.groupBy("source", F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(
         F.count("*").alias("n")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import urls
+from ..functions import text, urls
 from ..functions.expr import is_blank
 from ..operators import articles, catalog as catalogs, feeds as feed_ops, filters, pages as page_ops
 from ..operators.registry import unseen
@@ -56,7 +56,8 @@ def page_run(
     meet the page table, so that side is broadcast when its size allows and the
     pages are not shuffled.
     """
-    sources = catalogs.enabled_sources(catalog).where("method = 'html'")
+    # an id that also has a feed is a feed source
+    sources = catalogs.prefer_feeds(catalogs.enabled_sources(catalog)).where("method = 'html'")
     sourced = catalogs.attach_source(
         listings, sources.select("source_id", "base_url", "name", "method", "default_tags")
     )
@@ -68,7 +69,8 @@ def page_run(
 
     landed = join_dimension(pages.select("page_id", "url", "html"), chosen, "url", skewed=False)
     single = first_per_group(landed, ["source", "url"], [F.col("page_id")], 1)
-    extracted = page_ops.extract_pages(single)
+    authored = single.withColumn("author", text.page_author(F.col("html")))
+    extracted = page_ops.extract_pages(authored)
     named = catalogs.attach_source(
         extracted.withColumnRenamed("source", "source_id"),
         sources.select("source_id", "name", "method", "default_tags"),
@@ -79,7 +81,7 @@ def page_run(
         "method",
         "url",
         "title",
-        F.lit(None).cast("string").alias("author"),
+        "author",
         "published_date",
         "content_text",
         F.array_sort(F.array_distinct("default_tags")).alias("tags"),

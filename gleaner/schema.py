@@ -43,3 +43,5 @@ MANIFEST = """
 """
 
 MANIFEST_COLUMNS = ("source", "id", "url", "title", "published_date", "scraped_at")
+
+DOCUMENT = "id STRING, source STRING, filename STRING, body STRING, metadata MAP<STRING,STRING>"

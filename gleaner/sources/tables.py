@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import store
 from ..operators.documents import render_documents
 from ..operators.registry import registry_from_json, registry_json
-from ..schema import ARTICLE, ARTICLE_COLUMNS, FEEDS_RAW, MANIFEST, PAGES, REGISTRY
+from ..schema import ARTICLE, ARTICLE_COLUMNS, DOCUMENT, FEEDS_RAW, MANIFEST, PAGES, REGISTRY
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -39,12 +39,14 @@ def _read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _write_run(df: DataFrame, path: str, run_seq: int, *partitions: str) -> None:
-    """Write one run. Rebalancing sizes the files and splits a large source."""
+    """Write one run.
+
+    With partitions the rows are rebalanced: otherwise every task would write a
+    file per source. AQE then splits a large source and joins small ones.
+    """
     rows = df.withColumn("run_seq", F.lit(run_seq).cast("long"))
     if partitions:
         rows = rows.hint("rebalance", *[F.col(p) for p in partitions])
-    else:
-        rows = rows.hint("rebalance")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions, "run_seq").parquet(path)
 
@@ -125,9 +127,12 @@ def save_documents(articles: DataFrame, store_path: str, run_seq: int) -> None:
     _write_run(render_documents(articles), f"{store_path}/documents", run_seq)
 
 
-def read_documents(spark: SparkSession, store_path: str) -> DataFrame:
-    schema = "id STRING, source STRING, filename STRING, body STRING, metadata MAP<STRING,STRING>"
-    return store.latest(_read_runs(spark, f"{store_path}/documents", schema)).drop("run_seq")
+def read_documents(spark: SparkSession, store_path: str, run_seq: int | None = None) -> DataFrame:
+    """Newest version of every document, or the documents of one run."""
+    rows = _read_runs(spark, f"{store_path}/documents", DOCUMENT)
+    if run_seq is not None:
+        return rows.where(F.col("run_seq") == run_seq).drop("run_seq")
+    return store.latest(rows).drop("run_seq")
 
 
 def deliver(documents: DataFrame, send_partition) -> None:

@@ -88,6 +88,11 @@ def test_page_title(value):
     assert value(text.page_title(c("t")), t="<p>x</p>") is None
 
 
+def test_page_author(value):
+    assert value(text.page_author(c("t")), t='<meta name="author" content=" A &amp; B ">') == "A & B"
+    assert value(text.page_author(c("t")), t="<p>x</p>") == ""
+
+
 @pytest.mark.parametrize(
     "raw, iso",
     [

@@ -140,6 +140,26 @@ def test_runs_stay_in_the_jvm(spark, known):
     assert "WindowGroupLimit" in plan
 
 
+def test_page_run_leaves_ids_with_a_feed_alone(spark):
+    both = {**CONFIG, "html_sources": {"f": CONFIG["html_sources"]["p"]}}
+    listings = spark.createDataFrame([("f", 0, '<a href="/b/1">x</a>')], "source_id STRING, page_id BIGINT, html STRING")
+    landed = spark.createDataFrame([(1, "https://p/b/1", "<title>t</title>" + "llm words " * 30)], "page_id BIGINT, url STRING, html STRING")
+    assert page_run(listings, landed, catalog_frame(spark, both), None, PARAMS).isEmpty()
+    only = {"html_sources": both["html_sources"]}
+    assert page_run(listings, landed, catalog_frame(spark, only), None, PARAMS).count() == 1
+
+
+def test_bounded_stream_dedup(spark, tmp_path):
+    schema = "source STRING, url STRING, at TIMESTAMP"
+    rows = spark.sql("SELECT 's' AS source, 'u' AS url, timestamp'2025-01-01' AS at UNION ALL SELECT 's', 'u', timestamp'2025-01-05'")
+    landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
+    rows.write.parquet(landing)
+    kept = ingest.dedup_stream_bounded(ingest.read_landed(spark, landing, schema), "at")
+    query = kept.writeStream.option("checkpointLocation", check).trigger(availableNow=True)
+    query.start(out, format="parquet").awaitTermination()
+    assert spark.read.schema(schema).parquet(out).count() == 1
+
+
 def test_stream_is_incremental_and_repeatable(spark, known, tmp_path):
     landing, path, check = (str(tmp_path / n) for n in ("landing", "store", "check"))
 
