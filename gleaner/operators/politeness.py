@@ -30,15 +30,25 @@ def with_delay(
     return joined.withColumn("delay", F.coalesce("delay", F.lit(default)))
 
 
+_BUCKET = ["_domain", "_bucket"]
+
+
 def _bucketed(requests: DataFrame, seconds: int) -> DataFrame:
-    width = seconds * 1_000_000
+    """Add the time bucket. Keys are never null, so no null filter on one side of
+    the later join keeps both sides from sharing a shuffle."""
     at = _micros(F.col("ts"))
-    return requests.withColumns({"_at": at, "_bucket": F.floor(at / width).cast("long")})
+    return requests.withColumns(
+        {
+            "_at": at,
+            "_domain": F.coalesce("domain", F.lit("")),
+            "_bucket": F.coalesce(F.floor(at / (seconds * 1_000_000)).cast("long"), F.lit(-1)),
+        }
+    )
 
 
 def _carry(df: DataFrame, per_bucket: DataFrame) -> DataFrame:
-    """Join bucket rows back; both sides are already hashed by domain and bucket."""
-    return df.join(per_bucket, ["domain", "_bucket"], "left")
+    """Join bucket rows back; ``df`` is already hashed by domain and bucket."""
+    return df.join(per_bucket, _BUCKET, "left")
 
 
 def politeness_schedule(
@@ -51,19 +61,19 @@ def politeness_schedule(
     Expects domain, ts, delay (one value per domain) and a tie-break column.
     """
     step = F.round(F.col("delay") * 1e6).cast("long")
-    inside = Window.partitionBy("domain", "_bucket").orderBy("_at", tie)
+    inside = Window.partitionBy(*_BUCKET).orderBy("_at", tie)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = _bucketed(requests, bucket_seconds).withColumns({"_step": step, "_i": F.row_number().over(inside) - 1})
     local = local.withColumn("_slack", F.max(F.col("_at") - F.col("_step") * F.col("_i")).over(running))
 
-    totals = local.groupBy("domain", "_bucket").agg(
+    totals = local.groupBy(*_BUCKET).agg(
         F.count("*").alias("_n"), F.max("_slack").alias("_top"), F.max("_step").alias("_d")
     )
-    earlier = Window.partitionBy("domain").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_domain").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     carried = carried.withColumn(
         "_best", F.max(F.col("_top") - F.col("_d") * F.col("_offset")).over(earlier)
-    ).select("domain", "_bucket", "_offset", "_best")
+    ).select(*_BUCKET, "_offset", "_best")
 
     index = F.col("_offset") + F.col("_i")
     slack = F.greatest("_best", F.col("_slack") - F.col("_step") * F.col("_offset"))
@@ -79,12 +89,12 @@ def can_request(
     requests: DataFrame, tie: str = "request_id", bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
     """Whether the delay had passed since the domain's previous request."""
-    inside = Window.partitionBy("domain", "_bucket").orderBy("_at", tie)
+    inside = Window.partitionBy(*_BUCKET).orderBy("_at", tie)
     local = _bucketed(requests, bucket_seconds)
     local = local.withColumn("_before", F.lag("_at").over(inside))
-    last = local.groupBy("domain", "_bucket").agg(F.max("_at").alias("_last"))
-    chain = Window.partitionBy("domain").orderBy("_bucket")
-    carried = last.select("domain", "_bucket", F.lag("_last").over(chain).alias("_earlier"))
+    last = local.groupBy(*_BUCKET).agg(F.max("_at").alias("_last"))
+    chain = Window.partitionBy("_domain").orderBy("_bucket")
+    carried = last.select(*_BUCKET, F.lag("_last").over(chain).alias("_earlier"))
     elapsed = F.col("_at") - F.coalesce("_before", "_earlier")
     allowed = F.coalesce(elapsed >= F.round(F.col("delay") * 1e6), F.lit(True))
     return _carry(local, carried).select(*requests.columns, allowed.alias("can_request"))

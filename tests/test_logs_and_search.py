@@ -76,6 +76,14 @@ def test_schedule_of_a_hot_domain(spark, bucket):
     assert {r["request_id"]: r["can_request"] for r in allowed.collect()} == expected
 
 
+def test_requests_without_a_domain(spark):
+    requests = spark.createDataFrame([(1, None, 2.0), (2, None, 2.0), (3, "a", 2.0)], "request_id INT, domain STRING, delay DOUBLE")
+    requests = requests.withColumn("ts", F.timestamp_seconds(F.lit(0)))
+    plan = politeness.politeness_schedule(requests)
+    waits = {r["request_id"]: r["wait_seconds"] for r in plan.collect()}
+    assert waits == {1: 0, 2: 2, 3: 0}  # requests without a domain wait for each other
+
+
 def test_domain_delay(spark):
     requests = _requests(spark, [(1, "a", 0.0, 0.0), (2, "b", 0.0, 0.0)]).drop("delay")
     delays = spark.createDataFrame([("a", 5.0)], "domain STRING, delay DOUBLE")
