@@ -111,7 +111,8 @@ def local_day(iso: Column) -> Column:
 
 def first_date(*candidates: Column) -> Column:
     """First candidate that parses."""
-    return F.coalesce(*[parse_date(c) for c in candidates])
+    parsed = F.transform(F.array(*candidates), parse_date)
+    return F.try_element_at(F.filter(parsed, lambda d: d.isNotNull()), F.lit(1))
 
 
 def url_date(url: Column) -> Column:
@@ -127,7 +128,7 @@ def time_date(html: Column) -> Column:
 
 def meta_date(html: Column) -> Column:
     """First meta tag in order of preference whose content parses."""
-    return F.coalesce(*[parse_date(meta_content(html, a, v)) for a, v in DATE_METAS])
+    return first_date(*[meta_content(html, a, v) for a, v in DATE_METAS])
 
 
 def jsonld_date(html: Column) -> Column:

@@ -38,6 +38,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/gleaner-{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer partitions than there are cores.
+
+    A few large files leave cores idle during costly per-row work. Tables with
+    more splits than cores, as any large one has, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialised(df: DataFrame, label: str = "rows") -> DataFrame:
     """The rows written once to the shared folder and read back.
 

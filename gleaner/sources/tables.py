@@ -14,14 +14,15 @@ from ..operators import store
 from ..operators.documents import render_documents
 from ..operators.registry import registry_from_json, registry_json
 from ..schema import ARTICLE, ARTICLE_COLUMNS, DOCUMENT, FEEDS_RAW, MANIFEST, PAGES, REGISTRY
+from ..session import spread
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGES).parquet(path)
+    return spread(spark.read.schema(PAGES).parquet(path))
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FEEDS_RAW).parquet(path)
+    return spread(spark.read.schema(FEEDS_RAW).parquet(path))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

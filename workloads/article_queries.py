@@ -25,13 +25,13 @@ def article_id(spark, sf_dir):
 
 @query("word_count", f"SELECT doc_id, {i.words_sql('text')} AS word_count FROM documents")
 def word_count(spark, sf_dir):
-    docs = i.table(spark, sf_dir, "documents")
+    docs = i.documents(spark, sf_dir)
     return docs.select("doc_id", text.word_count(F.col("text")).cast("long").alias("word_count"))
 
 
 @query("summary", f"SELECT doc_id, {i.summary_sql('text')} AS summary FROM documents")
 def summary(spark, sf_dir):
-    docs = i.table(spark, sf_dir, "documents")
+    docs = i.documents(spark, sf_dir)
     return docs.select("doc_id", text.summary(F.col("text")).alias("summary"))
 
 
@@ -40,7 +40,7 @@ def summary(spark, sf_dir):
     f"SELECT doc_id, greatest(1, {i.words_sql('text')} // 200) AS minutes FROM documents",
 )
 def reading_time(spark, sf_dir):
-    docs = i.table(spark, sf_dir, "documents")
+    docs = i.documents(spark, sf_dir)
     minutes = text.reading_minutes(text.word_count(F.col("text")))
     return docs.select("doc_id", minutes.cast("long").alias("minutes"))
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gleaner.functions import urls
 from gleaner.operators.articles import project_articles
 from gleaner.params import FilterParams, RunParams
+from gleaner.session import spread
+from gleaner.sources import tables
 
 AS_OF = "2024-05-01T00:00:00Z"
 PARAMS = RunParams(as_of=AS_OF)
@@ -134,12 +136,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores: most queries work on every text."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def article_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as article inputs; French ones name no author, Spanish no date."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 120).cast("int"))
     dated = F.concat(day.cast("string"), F.lit("T00:00:00+00:00"))
     writer = F.concat(F.lit("Writer "), (F.col("doc_id") % 7).cast("string"))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         "lang",
         "source",
@@ -170,7 +177,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    """The page table, spread over the cores."""
+    return tables.read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +221,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed feed per document with one entry per line of its text."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 120).cast("int"))
     rss_day = F.date_format(day, "d MMM yyyy")
-    docs = table(spark, sf_dir, "documents").withColumns({"day": day, "rss_day": rss_day})
+    docs = documents(spark, sf_dir).withColumns({"day": day, "rss_day": rss_day})
     base = F.concat(document_url(), F.lit("/"))
 
     def rss(line, i):

@@ -50,7 +50,7 @@ nearest AS (
 
 def _docs(spark, sf_dir):
     length = text.word_count(F.col("text"))
-    return i.table(spark, sf_dir, "documents").select("doc_id", "text", length.alias("length"))
+    return i.documents(spark, sf_dir).select("doc_id", "text", length.alias("length"))
 
 
 def _queries(spark, sf_dir):
