@@ -85,7 +85,11 @@ def word_count_filter(articles: DataFrame, low: int = 0, high: int | None = None
 
 
 def keyword_filter(articles: DataFrame, keywords) -> DataFrame:
-    return articles.where(mentions_keyword(F.col("title"), F.col("content_text"), keywords))
+    # held, so that the search runs after a repartitioning that precedes it
+    judged = with_computed(
+        articles, _hit=mentions_keyword(F.col("title"), F.col("content_text"), keywords)
+    )
+    return judged.where("_hit").drop("_hit")
 
 
 def exclude_urls(df: DataFrame, patterns=EXCLUDE_PATTERNS, url: str = "url") -> DataFrame:

@@ -1,7 +1,6 @@
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from gleaner.functions import fields
 from gleaner.operators import articles, documents, filters
