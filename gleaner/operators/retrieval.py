@@ -81,12 +81,14 @@ def cosine(a: Column, b: Column) -> Column:
         products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
         return F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
 
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    # a zero vector is similar to nothing
+    return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b))), F.lit(0.0))
 
 
 def _unit(rows) -> np.ndarray:
     matrix = np.vstack([np.asarray(r, dtype=np.float64) for r in rows])
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(norms == 0, 1.0, norms)
 
 
 _SCORED = "query_id bigint, doc_id bigint, score double, low double, high double"

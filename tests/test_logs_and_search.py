@@ -163,6 +163,15 @@ def test_semantic_in_one_pass_and_in_blocks(corpus, monkeypatch, block, shard):
     assert found == _top(_cosines(docs, queries), queries, 7)
 
 
+def test_zero_vectors_score_zero(spark):
+    docs = spark.createDataFrame([(1, "a b", 2, [0.0, 0.0]), (2, "a", 1, [1.0, 0.0])], "doc_id BIGINT, text STRING, length INT, vector ARRAY<DOUBLE>")
+    queries = spark.createDataFrame([(1, "a", [1.0, 0.0])], "query_id BIGINT, text STRING, vector ARRAY<DOUBLE>")
+    scores = {r["doc_id"]: r["score"] for r in retrieval.semantic_scores(docs, queries).collect()}
+    assert scores == {1: 0.0, 2: 1.0}
+    semantic = {r["doc_id"]: r["semantic"] for r in retrieval.hybrid_scores(docs, queries).collect()}
+    assert semantic == {1: 0.0, 2: 1.0}
+
+
 @pytest.mark.parametrize("k", [3, 25])
 def test_hybrid_is_exact_for_the_first_k(corpus, k):
     docs, queries, docs_df, queries_df = corpus
