@@ -14,10 +14,8 @@ SPACES = " \t\n\x0b\f\r"
 
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
-    return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, r"[\x20\x09-\x0D]+")
-    )
+    blanks = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D]", " ")
+    return F.array_remove(F.split(blanks, " "), "")
 
 
 def unit(*columns: Column, seed: int = 0) -> Column:

@@ -28,7 +28,7 @@ def signals(text: Column) -> Column:
     n_words, word_chars (code points in words), n_symbols (characters of
     #*$%&|<>), n_dup_lines (lines with a word that equal an earlier line),
     n_repeat_words (words inside 5-word windows that occur twice or more, the first
-    included), n_lines (lines with a word), n_letters, n_distinct (distinct words), n_upper_words (words of two or more letters without a lower-case one).
+    included), n_lines (lines with a word), n_distinct (distinct words), n_upper (upper-case letters).
     """
     body = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -45,9 +45,8 @@ def _counts(t: Column) -> Column:
         (F.size(t["lines"]) - F.size(F.array_distinct(t["lines"]))).cast("long").alias("n_dup_lines"),
         repeated_words(words).alias("n_repeat_words"),
         F.size(t["lines"]).cast("long").alias("n_lines"),
-        F.length(F.regexp_replace(body, r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
         F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
-        F.size(F.filter(words, lambda w: w.rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$"))).cast("long").alias("n_upper_words"),
+        F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
     )
 
 
@@ -60,7 +59,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """
     count = F.size(words) - (window - 1)
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(window)]))
+    codes = F.transform(words, lambda w: F.xxhash64(w))
+    hashes = _let(codes, lambda c: F.transform(starts, lambda i: F.xxhash64(*[F.get(c, i + k) for k in range(window)])))
 
     def again(pairs: Column) -> Column:
         twice = F.transform(
@@ -121,11 +121,11 @@ def rules(counts: str) -> list[Rule]:
     return [
         Rule("length", c("n_words"), (30, inf), (10, inf)),
         Rule("word_size", share("word_chars", "n_words"), (3.5, 9), (2.5, 13)),
-        Rule("symbols", share("n_symbols", "n_words"), (0, 0.05), (0, 0.2)),
-        Rule("letters", share("n_letters", "word_chars"), (0.85, 1), (0.7, 1)),
-        Rule("lines", share("n_dup_lines", "n_lines"), (0, 0.1), (0, 0.3)),
-        Rule("repeats", share("n_repeat_words", "n_words"), (0, 0.05), (0, 0.2)),
-        Rule("capitals", share("n_upper_words", "n_words"), (0, 0.15), (0, 0.4)),
+        Rule("symbols_by_word", share("n_symbols", "n_words"), (0, 0.02), (0, 0.1)),
+        Rule("symbols_by_size", share("n_symbols", "word_chars"), (0, 0.005), (0, 0.02)),
+        Rule("lines", share("n_dup_lines", "n_lines"), (0, 0.1), (0, 0.4)),
+        Rule("repeats", share("n_repeat_words", "n_words"), (0, 0.05), (0, 0.15)),
+        Rule("capitals", share("n_upper", "word_chars"), (0, 0.1), (0, 0.25)),
         Rule("variety", F.when(c("n_words") >= 100, c("n_distinct") / F.sqrt(c("n_words"))), (5, inf), (3, inf)),
     ]
 
@@ -145,53 +145,77 @@ class LabelModel:
         return 1 / (1 + F.exp(-total))
 
 
-def fit(votes: DataFrame, names: Sequence[str], rounds: int = 25, prior: float = 0.8, accuracy: float = 0.8) -> LabelModel:
+def fit(votes: DataFrame, names: Sequence[str], rounds: int = 25, prior: float = 0.9, on_good: float = 0.99, on_bad: float = 0.4) -> LabelModel:
     """Fits the label model on all rows of ``votes`` by expectation maximisation.
 
     The votes are first counted by pattern; with m rules there are at most 3^m
-    patterns, so every round is a small job whatever the number of documents,
-    and only the parameters of a round come to the driver. A rule's chance of voting
-    right, given that it votes, is estimated for good and for bad documents. It starts at ``accuracy``
-    and is held between 0.55 and 0.99: a rule may turn out to say little, not to mean
-    the opposite. The share of good documents starts at ``prior`` and stays between 0.05 and 0.95.
-    Without rows the start values stay.
+    patterns, so the rounds run over one row that holds them, whatever the number of
+    documents, and one row of parameters comes to the driver. A rule's chance of
+    voting right, given that it votes, is estimated for good and for bad documents,
+    from ``on_good`` and ``on_bad`` on. A bad document need not break most rules,
+    so a rule may be wrong about most of them; but it is held to this: a bad vote
+    never speaks for a document, nor a good one against it. The share of good documents starts at
+    ``prior`` and stays between 0.05 and 0.95. Without rows the start values stay.
     """
-    patterns = materialised(votes.groupBy(*names).agg(F.count("*").cast("double").alias("n")), "patterns")
-    share, right = prior, {k: (accuracy, accuracy) for k in names}
-    for _ in range(rounds):
-        model = _model(share, right)
-        weighed = patterns.withColumn("votes", F.struct(*names)).withColumn("p", model.posterior("votes"))
-        good, bad = F.col("p") * F.col("n"), (1 - F.col("p")) * F.col("n")
-        sums = [F.sum("n").alias("n"), F.sum(good).alias("good")]
-        for k in names:
-            sums += [
-                F.sum(F.when(F.col(k) > 0, good)).alias(f"{k}_good_right"),
-                F.sum(F.when(F.col(k) != 0, good)).alias(f"{k}_good"),
-                F.sum(F.when(F.col(k) < 0, bad)).alias(f"{k}_bad_right"),
-                F.sum(F.when(F.col(k) != 0, bad)).alias(f"{k}_bad"),
-            ]
-        row = weighed.agg(*sums).first()
-        if not row["n"]:
-            break
-        before = share, right
-        share = _held(row["good"] / row["n"], 0.05, 0.95)
-        # One imagined vote per kind at the start value keeps a rule without votes where it was.
-        right = {
-            k: tuple(
-                _held(((row[f"{k}_{kind}_right"] or 0.0) + accuracy) / ((row[f"{k}_{kind}"] or 0.0) + 1), 0.55, 0.99)
-                for kind in ("good", "bad")
-            )
-            for k in names
-        }
-        if abs(before[0] - share) < 1e-9 and all(
-            abs(x - y) < 1e-9 for k in names for x, y in zip(before[1][k], right[k], strict=True)
-        ):
-            break
-    return _model(share, right)
-
-
-def _held(value: float, low: float, high: float) -> float:
-    return round(min(high, max(low, value)), 12)
+    counted = votes.groupBy(*names).agg(F.count("*").cast("double").alias("n"))
+    pattern = F.struct(F.array(*[F.col(k).cast("int") for k in names]).alias("votes"), "n")
+    # Sorted, so that sums are added in one order and reruns agree to the last digit.
+    patterns = counted.agg(F.sort_array(F.collect_list(pattern)).alias("patterns"))
+    start = F.struct(
+        F.lit(prior).alias("share"),
+        F.array(*[F.struct(F.lit(on_good).alias("good"), F.lit(on_bad).alias("bad")) for _ in names]).alias("right"),
+    )
+    fitted = F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds)), start, lambda model, _: _round(F.col("patterns"), model, len(names), on_good, on_bad)
+    )
+    found = patterns.select(F.when(F.size("patterns") > 0, fitted).otherwise(start).alias("model")).first()["model"]
+    return _model(found["share"], {k: (r["good"], r["bad"]) for k, r in zip(names, found["right"], strict=True)})
+
+
+#: Chances of voting right are held inside these. The lower bounds add up to more than 1, so votes keep their direction.
+BOUNDS = {"good": (0.98, 0.999), "bad": (0.1, 0.99)}
+
+
+def _round(patterns: Column, model: Column, n_rules: int, on_good: float, on_bad: float) -> Column:
+    """One round: the posterior of every pattern, and the parameters that the posteriors give."""
+    weights = F.transform(
+        model["right"],
+        lambda r: F.struct(F.log(r["good"] / (1 - r["bad"])).alias("up"), F.log((1 - r["good"]) / r["bad"]).alias("down")),
+    )
+
+    def weighed(p: Column, w: Column) -> Column:
+        votes = F.zip_with(
+            p["votes"], w, lambda v, x: F.when(v > 0, x["up"]).when(v < 0, x["down"]).otherwise(F.lit(0.0))
+        )
+        odds = F.aggregate(votes, F.log(model["share"] / (1 - model["share"])), lambda a, x: a + x)
+        return F.struct(p["votes"].alias("votes"), p["n"].alias("n"), (p["n"] / (1 + F.exp(-odds))).alias("good"))
+
+    def parameters(posterior: Column) -> Column:
+        def total(part: Callable[[Column], Column]) -> Column:
+            return F.aggregate(posterior, F.lit(0.0), lambda a, p: a + part(p))
+
+        def right(rule: int, kind: str) -> Column:
+            def mass(p: Column) -> Column:
+                return p["good"] if kind == "good" else p["n"] - p["good"]
+
+            def voted(p: Column) -> Column:
+                return F.get(p["votes"], rule)
+
+            hit = total(lambda p: F.when(voted(p) > 0 if kind == "good" else voted(p) < 0, mass(p)).otherwise(F.lit(0.0)))
+            cast = total(lambda p: F.when(voted(p) != 0, mass(p)).otherwise(F.lit(0.0)))
+            # One imagined vote at the start value keeps a rule without votes where it was.
+            return _between((hit + (on_good if kind == "good" else on_bad)) / (cast + 1), *BOUNDS[kind])
+
+        share = _between(total(lambda p: p["good"]) / total(lambda p: p["n"]), 0.05, 0.95)
+        rights = [F.struct(right(k, "good").alias("good"), right(k, "bad").alias("bad")) for k in range(n_rules)]
+        return F.struct(share.alias("share"), F.array(*rights).alias("right"))
+
+    posterior = _let(weights, lambda w: F.transform(patterns, lambda p: weighed(p, w)))
+    return _let(posterior, parameters)
+
+
+def _between(value: Column, low: float, high: float) -> Column:
+    return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
 def _model(share: float, right: dict[str, tuple[float, float]]) -> LabelModel:
