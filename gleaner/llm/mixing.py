@@ -239,7 +239,7 @@ def mixed_documents(
     taken = mixed_sizes(sizes, weights, share, ceiling, block_words, shards, seed).where("taken > 0")
     laps = taken.select("_row", "size", "cuts", F.explode(F.array_distinct(F.transform("cuts", lambda c: c["lap"]))).alias("_lap")).select(
         "_row",
-        "size",
+        F.col("size").alias("_words"),
         F.sort_array(
             F.transform(
                 F.filter("cuts", lambda c: c["lap"] == F.col("_lap")), lambda c: F.struct(c["from_word"].alias("low"), c["to_word"].alias("high"))
@@ -252,7 +252,7 @@ def mixed_documents(
         F.flatten(F.transform("_cuts", lambda c: F.slice(parts, (c["low"] + 1).cast("int"), (c["high"] - c["low"]).cast("int")))), ""
     )
     joined = numbered.join(materialised(laps, "laps"), "_row").withColumn(
-        "text", F.when(words == F.col("size"), F.col("text")).otherwise(F.btrim(some, F.lit(SPACES)))
+        "text", F.when(words == F.col("_words"), F.col("text")).otherwise(F.btrim(some, F.lit(SPACES)))
     )
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

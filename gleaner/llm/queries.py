@@ -58,7 +58,47 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_links(table(spark, sf_dir, "embeddings"))
 
 
-@query("op7_mixing")
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), by_source AS (
+  SELECT *, (ARRAY[5.0, 2.0, 1.0])[1 + place % 3]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM sized GROUP BY source)
+), turned AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, place) AS turn FROM by_source
+), levelled AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER done, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER done, 0)) AS level
+  FROM turned WINDOW done AS (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, place, least(cap, weight * coalesce(
+    (SELECT level FROM levelled WHERE level * weight <= cap ORDER BY turn LIMIT 1), 1e300)) AS target,
+    ceil(source_size / 8.0)::BIGINT AS blocks
+  FROM levelled
+), tried AS (
+  SELECT place, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, place, seat) AS turn
+  FROM (SELECT place, target, unnest(range(0, 2 * blocks)) AS seat FROM targets WHERE target > 0)
+), won AS (
+  SELECT place, count(*) AS seats FROM tried WHERE turn <= (SELECT floor(sum(target) / 8) FROM targets) GROUP BY place
+), lined AS (
+  SELECT s.doc_id, s.size, t.*, coalesce(w.seats, 0) AS seats,
+    CASE WHEN blocks > 0 THEN ('0x' || substr(md5('7:start:' || t.place), 1, 13))::BIGINT % blocks ELSE 0 END AS start,
+    coalesce(sum(s.size) OVER (PARTITION BY t.place
+      ORDER BY substr(md5('7:' || coalesce(s.doc_id::VARCHAR, '')), 1, 13), s.doc_id, s.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN won w ON w.place = t.place
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (
+  greatest(0, least(least(start + seats, blocks) * 8 - line, size) - greatest(start * 8 - line, 0))
+  + greatest(0, least(least(start + seats - blocks, blocks) * 8 - line, size) - greatest(greatest(start - blocks, 0) * 8 - line, 0))
+  + greatest(0, least(least(start + seats - 2 * blocks, blocks) * 8 - line, size) - greatest(-line, 0))
+  )::BIGINT AS taken
+FROM lined
+"""
+
+
+@query("op7_mixing", MIX_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
