@@ -24,7 +24,14 @@ def unit(*columns: Column, seed: int = 0) -> Column:
 
 
 def running_total(
-    df: DataFrame, key: str, line: str, value: str, out: str, ties: Sequence[str] = (), rows: DataFrame | None = None
+    df: DataFrame,
+    key: str,
+    line: str,
+    value: str,
+    out: str,
+    ties: Sequence[str] = (),
+    rows: DataFrame | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same key that come earlier on the line.
 
@@ -32,9 +39,12 @@ def running_total(
     equal ``line`` follow ``ties``. A key of n rows is cut into sqrt(n) buckets of
     the line, so that neither a bucket nor the table of bucket sums gets more
     than about sqrt(n) rows of it. ``rows`` may bring (key, n_rows), else they are counted.
-    Keys must not be null. ``df`` is read twice.
+    Keys must not be null. ``df`` is read twice. ``few_keys`` says that the number
+    of keys has a proven small bound; their counts are then sent to every task, and
+    rows are first dealt by key and bucket, never by key alone.
     """
     counted = rows if rows is not None else df.groupBy(key).agg(F.count("*").alias("n_rows"))
+    counted = F.broadcast(counted) if few_keys else counted
     sized = df.join(counted.select(F.col(key), F.col("n_rows").alias("_n")), key)
     bucketed = sized.withColumn("_bucket", F.floor(F.col(line) * F.ceil(F.sqrt("_n"))).cast("long")).drop("_n")
     sums = bucketed.groupBy(key, "_bucket").agg(F.sum(value).alias("_sum"))

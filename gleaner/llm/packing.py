@@ -163,7 +163,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence, "offset": table["offset"][at]})
 
     lined = pieces.withColumn("_line", unit(F.col("doc_id"), F.col("piece"), seed=3)).withColumn("_one", F.lit(1))
-    numbered = running_total(lined, "length", "_line", "_one", "_number", ["doc_id", "piece"])
+    numbered = running_total(lined, "length", "_line", "_one", "_number", ["doc_id", "piece"], few_keys=True)
     return (
         numbered.withColumn("_place", place("length", "_number"))
         .select(*pieces.columns, "_place.sequence_id", "_place.offset")

@@ -65,5 +65,5 @@ def sharded(docs: DataFrame, shards: int = 40, key: str = "doc_id") -> DataFrame
         "shards",
     )
     lined = placed.withColumn("_line", unit(F.col(key), seed=1)).withColumn("_one", F.lit(1))
-    slotted = running_total(lined, "shard", "_line", "_one", "slot", [key, "text_crc32", "size"])
+    slotted = running_total(lined, "shard", "_line", "_one", "slot", [key, "text_crc32", "size"], few_keys=shards <= 1 << 16)
     return slotted.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
