@@ -122,35 +122,27 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
     path = path or vocabulary_path(WORD_BPE)
     end = np.array([end_id], "<u4").tobytes()
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # Encoding first: ids are a third of the work's bytes, and the hot ranges of ids cost nothing.
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary"
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                ids = [i + end for i in encode(x.as_py() for x in rows.column(1))]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
+        encode = encoder(path).encode
         rows, ids, size, number = [], [], 0, 0
         for batch in batches:
-            for doc, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows.append(doc)
-                ids.append(own)
-                size += len(own)
+            kind = batch.schema.field(0).type
+            for k, own in enumerate(encode(x.as_py() for x in batch.column(1))):
+                rows.append(batch.column(0)[k].as_py())
+                ids.append(own + end)
+                size += len(ids[-1])
                 if size >= FILE_BYTES:
-                    yield _file(folder, part, number, rows, ids, batch.schema.field(0).type)
+                    yield _file(folder, part, number, rows, ids, kind)
                     rows, ids, size, number = [], [], 0, number + 1
         if rows:
-            yield _file(folder, part, number, rows, ids, batch.schema.field(0).type)
+            yield _file(folder, part, number, rows, ids, kind)
 
+    # Texts are dealt out before they are encoded: finding the ranges runs what comes before it once more.
     ordered = (
-        docs.select("doc_id", "text").mapInArrow(encoded, schema)
-        .repartitionByRange(parts, "doc_id", "ids")
-        .sortWithinPartitions("doc_id", "ids")
+        docs.select("doc_id", "text")
+        .repartitionByRange(parts, "doc_id")
+        .sortWithinPartitions("doc_id", "text")
     )
     return ordered.mapInArrow(
         written, "part int, file_no int, path string, index_path string, n_records long, n_tokens long"
