@@ -22,7 +22,7 @@ from .skew import first_per_group, join_dimension
 
 K1 = 1.2
 B = 0.75
-TERM = r"[a-z0-9]+"
+TERM = r"[\pL\pN]+"
 DIGITS = 9
 
 # Queries sent to every task when there are no more than this; documents per

@@ -29,11 +29,14 @@ def build_session(app: str = "gleaner", **extra: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    A local temporary folder is used only where the setting is absent, as in
-    tests on one machine.
+    A local temporary folder is used only where the setting is absent and all
+    tasks run on this machine, as in tests; elsewhere the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return tempfile.mkdtemp(prefix=f"gleaner-{label}-")
     return f"{base.rstrip('/')}/gleaner-{label}-{uuid.uuid4().hex}"
 

@@ -1,9 +1,9 @@
 """Readers and writers of the stored tables.
 
-Layout below a store folder: ``articles``, ``manifest`` and ``html_snapshots``
-are partitioned by source and run, ``registry`` and ``documents`` by run. A run
-overwrites only its own partitions, so a repeated run is harmless, and nothing
-that is being read is rewritten.
+Layout below a store folder: every table is partitioned by source and run. A
+run overwrites only the partitions of its own sources, so a repeated run is
+harmless, runs over different sources may share a number, and nothing that is
+being read is rewritten.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ def read_manifest(spark: SparkSession, store_path: str) -> DataFrame:
 
 def save_registry(new_rows: DataFrame, store_path: str, run_seq: int) -> None:
     """Append the pairs a run accepted."""
-    _write_run(new_rows.select("source", "url").distinct(), f"{store_path}/registry", run_seq)
+    _write_run(new_rows.select("source", "url").distinct(), f"{store_path}/registry", run_seq, "source")
 
 
 def read_registry(spark: SparkSession, store_path: str) -> DataFrame:
@@ -125,7 +125,7 @@ def save_html_snapshots(articles: DataFrame, store_path: str, run_seq: int) -> N
 
 
 def save_documents(articles: DataFrame, store_path: str, run_seq: int) -> None:
-    _write_run(render_documents(articles), f"{store_path}/documents", run_seq)
+    _write_run(render_documents(articles), f"{store_path}/documents", run_seq, "source")
 
 
 def read_documents(spark: SparkSession, store_path: str, run_seq: int | None = None) -> DataFrame:
@@ -157,7 +157,9 @@ def clear_source(spark: SparkSession, store_path: str, source: str) -> int:
     removed = versions.select("id").distinct().count()
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    # Spark escapes characters such as the colon of a port in folder names.
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(source)
     for table in ("articles", "html_snapshots", "manifest"):
-        folder = jvm.org.apache.hadoop.fs.Path(f"{store_path}/{table}/source={source}")
+        folder = jvm.org.apache.hadoop.fs.Path(f"{store_path}/{table}/source={name}")
         folder.getFileSystem(conf).delete(folder, True)
     return removed

@@ -115,7 +115,7 @@ def corpus(spark):
 
 
 def _bm25(docs, queries):
-    tokens = {i: re.findall("[a-z0-9]+", t) for i, t, _ in docs}
+    tokens = {i: re.findall(r"[^\W_]+", t) for i, t, _ in docs}
     average = sum(map(len, tokens.values())) / len(tokens)
     scores = {}
     for q, text, _ in queries:

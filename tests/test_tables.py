@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import catalog, feeds, pages, registry, skew, store
 from gleaner.params import FilterParams
+from gleaner.session import scratch_dir
 from gleaner.sources import catalog as catalog_source, tables
 
 from .conftest import plan_of
@@ -206,6 +207,34 @@ def test_store(spark, tmp_path):
     assert [r["id"] for r in tables.read_manifest(spark, path).collect()] == ["2"]
     assert tables.clear_source(spark, path, "missing") == 0
 
+    port = first.withColumn("source", F.lit("localhost:8080"))
+    tables.save_articles(port, path, 3)
+    assert tables.clear_source(spark, path, "localhost:8080") == 2
+    assert tables.read_articles(spark, path, "localhost:8080").count() == 0
+
+
+def test_runs_over_other_sources_may_share_a_number(spark, tmp_path):
+    path = str(tmp_path)
+    rows = [{"id": k, "source": s, "url": f"http://{s}/{k}"} for k, s in (("1", "feed"), ("2", "page:8080"))]
+    for row in rows:
+        save = spark.createDataFrame([(row["source"], row["url"])], "source string, url string")
+        tables.save_registry(save, path, 1)
+    assert sorted(r["url"] for r in tables.read_registry(spark, path).collect()) == [r["url"] for r in rows]
+    tables.save_registry(spark.createDataFrame([("feed", "http://feed/1")], "source string, url string"), path, 1)
+    assert tables.read_registry(spark, path).count() == 2
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(Cluster, "x")
+
 
 def test_manifest_reads_no_text(spark, tmp_path):
     path = str(tmp_path / "store")

@@ -16,8 +16,8 @@ docs AS (SELECT doc_id, text, {i.words_sql("text")} AS length FROM documents),
 queries AS (SELECT item_id AS query_id, text FROM benchmark)
 """
 BM25 = """
-wanted AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM queries),
-tokens AS (SELECT doc_id, length, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM docs),
+wanted AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM queries),
+tokens AS (SELECT doc_id, length, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM docs),
 counts AS (
   SELECT doc_id, length, term, count(*) AS tf FROM tokens SEMI JOIN wanted USING (term) GROUP BY ALL
 ),
