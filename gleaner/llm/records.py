@@ -43,6 +43,14 @@ def _table() -> np.ndarray:
     return table
 
 
+@cache
+def _pair_table() -> np.ndarray:
+    """As ``_table``, for two bytes at a time."""
+    pairs = np.arange(1 << 16, dtype=np.uint32)
+    first = _table()[pairs & np.uint32(255)]
+    return (first >> np.uint32(8)) ^ _table()[(first ^ (pairs >> np.uint32(8))) & np.uint32(255)]
+
+
 @cache
 def _past_lane() -> np.ndarray:
     """Four tables of 256: what a checksum becomes after LANE zero bytes, by its bytes."""
@@ -57,7 +65,7 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
 
     Zero bytes in front leave a checksum that starts at zero as it is, and the
     usual start value acts like inverting the first four bytes. So the strings are
-    padded in front to whole lanes, all lanes advance together byte by byte, and
+    padded in front to whole lanes, all lanes advance together two bytes a step, and
     a string's lanes are then joined from left to right.
     """
     lengths = np.array([len(p) for p in payloads], np.int64)
@@ -69,9 +77,9 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
         flat[end - length : end] = np.frombuffer(payload, np.uint8)
         flat[end - length : end - length + 4] ^= 255
     state = np.zeros(len(block), np.uint32)
-    table = _table()
-    for column in np.ascontiguousarray(block.T):
-        state = (state >> np.uint32(8)) ^ table[(state ^ column) & np.uint32(255)]
+    table = _pair_table()
+    for column in np.ascontiguousarray(block.view("<u2").T):
+        state = (state >> np.uint32(16)) ^ table[(state ^ column) & np.uint32(0xFFFF)]
     past = _past_lane()
     total = np.zeros(len(payloads), np.uint32)
     order = np.argsort(-lanes, kind="stable")

@@ -26,6 +26,9 @@ PLAIN_WORD = re.compile(f" ?[{LETTERS}]+\\Z")
 #: Where a blank may touch other white space, a cut before it is not always one of the tokenizer's.
 TOUCHING = ("  ", " \n", "\n ", "\t", "\r", "\v", "\f")
 
+#: What stands for a blank in the byte alphabet; ASCII letters stand for themselves.
+BLANK = "\u0120"
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -58,7 +61,7 @@ class Encoder:
     are ordinary text.
     """
 
-    def __init__(self, path: str, memory: int = 500_000):
+    def __init__(self, path: str, memory: int = 650_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -79,7 +82,10 @@ class Encoder:
             return self._whole(part)
         if self.folds:
             part = part.lstrip(" ").lower()
-        coded = part.encode().decode("latin-1").translate(self.bytes)
+        if part.isascii():
+            coded = part.replace(" ", BLANK)
+        else:
+            coded = part.encode().decode("latin-1").translate(self.bytes)
         return array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
 
     def _ids(self, text: str) -> bytes:
