@@ -2,9 +2,10 @@
 
 A record is its payload's length (8 bytes), the masked CRC-32C of those 8 bytes,
 the payload, and the masked CRC-32C of the payload, all little-endian: the layout
-that TFRecord readers know. The payload is a document's ids as unsigned 32-bit
-integers. The index is a Parquet file with one row per record, so that a shuffled
-read seeks to the records it wants and no other.
+that TFRecord readers know. The payload is a document's ids as unsigned integers
+of 16 bits where the vocabulary has no id above 65,535, else of 32 bits. The index
+is a Parquet file with one row per record and the bytes of an id, so that a
+shuffled read seeks to the records it wants and no other.
 """
 
 from __future__ import annotations
@@ -61,12 +62,13 @@ def _past_lane() -> np.ndarray:
 
 
 def crc32c(payloads: list[bytes]) -> np.ndarray:
-    """CRC-32C of each byte string of at least 4 bytes, all in step.
+    """CRC-32C of each byte string, all in step.
 
     Zero bytes in front leave a checksum that starts at zero as it is, and the
     usual start value acts like inverting the first four bytes. So the strings are
     padded in front to whole lanes, all lanes advance together two bytes a step, and
-    a string's lanes are then joined from left to right.
+    a string's lanes are then joined from left to right. Strings of under four bytes
+    advance alone.
     """
     lengths = np.array([len(p) for p in payloads], np.int64)
     lanes = -(-lengths // LANE)
@@ -74,8 +76,9 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
     block = np.zeros((int(ends[-1]) if len(ends) else 0, LANE), np.uint8)
     flat = block.reshape(-1)
     for payload, end, length in zip(payloads, ends * LANE, lengths, strict=True):
-        flat[end - length : end] = np.frombuffer(payload, np.uint8)
-        flat[end - length : end - length + 4] ^= 255
+        if length >= 4:
+            flat[end - length : end] = np.frombuffer(payload, np.uint8)
+            flat[end - length : end - length + 4] ^= 255
     state = np.zeros(len(block), np.uint32)
     table = _pair_table()
     for column in np.ascontiguousarray(block.view("<u2").T):
@@ -90,6 +93,11 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
         t = total[open_]
         t = past[0][t & 255] ^ past[1][t >> 8 & 255] ^ past[2][t >> 16 & 255] ^ past[3][t >> 24]
         total[open_] = t ^ state[first[: len(open_)] + lane]
+    for k in np.flatnonzero(lengths < 4):
+        alone = 0xFFFFFFFF
+        for byte in payloads[k]:
+            alone = alone >> 8 ^ int(_table()[(alone ^ byte) & 255])
+        total[k] = alone
     return total ^ np.uint32(0xFFFFFFFF)
 
 
@@ -98,7 +106,7 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 
 def frames(payloads: list[bytes]) -> Iterator[bytes]:
-    """The record of each payload of at least 4 bytes."""
+    """The record of each payload."""
     heads = [struct.pack("<Q", len(p)) for p in payloads]
     for head, payload, a, b in zip(heads, payloads, masked(crc32c(heads)), masked(crc32c(payloads)), strict=True):
         yield b"%b%b%b%b" % (head, struct.pack("<I", a), payload, struct.pack("<I", b))
@@ -128,23 +136,24 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
     table come from the writing itself: materialise it, so as to write once.
     """
     path = path or vocabulary_path(WORD_BPE)
-    end = np.array([end_id], "<u4").tobytes()
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode = encoder(path).encode
+        encode, width = encoder(path).encode, 2 if max(encoder(path).largest_id, end_id) < 1 << 16 else 4
+        end = np.array([end_id], f"<u{width}").tobytes()
         rows, ids, size, number = [], [], 0, 0
         for batch in batches:
             kind = batch.schema.field(0).type
             for k, own in enumerate(encode(x.as_py() for x in batch.column(1))):
                 rows.append(batch.column(0)[k].as_py())
-                ids.append(own + end)
+                ids.append(np.frombuffer(own, "<u4").astype(f"<u{width}").tobytes() + end)
                 size += len(ids[-1])
                 if size >= FILE_BYTES:
-                    yield _file(folder, part, number, rows, ids, kind)
+                    yield _file(folder, part, number, rows, ids, kind, width)
                     rows, ids, size, number = [], [], 0, number + 1
         if rows:
-            yield _file(folder, part, number, rows, ids, kind)
+            yield _file(folder, part, number, rows, ids, kind, width)
 
     # Texts are dealt out before they are encoded: finding the ranges runs what comes before it once more.
     ordered = (
@@ -157,7 +166,7 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
     )
 
 
-def _file(folder: str, part: int, number: int, docs: list, ids: list[bytes], kind: pa.DataType) -> pa.RecordBatch:
+def _file(folder: str, part: int, number: int, docs: list, ids: list[bytes], kind: pa.DataType, width: int) -> pa.RecordBatch:
     name = f"{folder}/part-{part:06d}-{number:06d}"
     sizes = np.array([len(i) for i in ids], np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes + FRAME)[:-1]])
@@ -166,10 +175,10 @@ def _file(folder: str, part: int, number: int, docs: list, ids: list[bytes], kin
         for at in range(0, len(ids), 1024):
             stream.write(b"".join(frames(ids[at : at + 1024])))
 
-    table = pa.table({"doc_id": pa.array(docs, kind), "offset": offsets, "length": sizes})
+    table = pa.table({"doc_id": pa.array(docs, kind), "offset": offsets, "length": sizes, "id_bytes": np.full(len(ids), width, np.int32)})
     publish(f"{name}.records", records)
     publish(f"{name}.index", lambda stream: pq.write_table(table, stream))
-    total = int(sizes.sum()) // 4
+    total = int(sizes.sum()) // width
     return pa.RecordBatch.from_pylist(
         [{"part": part, "file_no": number, "path": f"{name}.records", "index_path": f"{name}.index", "n_records": len(ids), "n_tokens": total}],
         pa.schema([("part", pa.int32()), ("file_no", pa.int32()), ("path", pa.string()), ("index_path", pa.string()), ("n_records", pa.int64()), ("n_tokens", pa.int64())]),
@@ -180,7 +189,8 @@ def read_records(files: DataFrame, id_type: str = "long", keep_ids: bool = True)
     """One row per record of ``files`` (write_records' rows): part, file_no, position, doc_id, n_tokens, ids_crc32[, ids].
 
     Seeks by the index, some megabytes at a time, and checks every length and
-    checksum. ``position`` is the record's number in its file.
+    checksum. ``position`` is the record's number in its file; ``ids`` and the
+    checksum ``ids_crc32`` are of unsigned 32-bit ids, whatever the file's width.
     """
     schema = f"part int, file_no int, position long, doc_id {id_type}, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
 
@@ -193,20 +203,22 @@ def read_records(files: DataFrame, id_type: str = "long", keep_ids: bool = True)
                     index = pq.read_table(f)
                 offsets = index["offset"].to_numpy()
                 lengths = index["length"].to_numpy()
+                width = index["id_bytes"][0].as_py()  # a file has a record at least
                 with store.open_input_file(path) as f:
                     low = 0
                     while low < len(offsets):
                         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (4 << 20))))
                         stop = int(offsets[high - 1] + lengths[high - 1] + FRAME)
                         data = f.read_at(stop - int(offsets[low]), int(offsets[low]))
-                        ids = unframed(data, offsets[low:high] - offsets[low], lengths[low:high])
+                        stored = unframed(data, offsets[low:high] - offsets[low], lengths[low:high])
+                        ids = [np.frombuffer(i, f"<u{width}").astype("<u4").tobytes() for i in stored]
                         n = high - low
                         columns = [
                             pa.array(np.full(n, row["part"], np.int32)),
                             pa.array(np.full(n, row["file_no"], np.int32)),
                             pa.array(np.arange(low, high, dtype=np.int64)),
                             index["doc_id"].slice(low, n).combine_chunks(),
-                            pa.array(lengths[low:high] // 4),
+                            pa.array(lengths[low:high] // width),
                             pa.array([zlib.crc32(i) for i in ids], pa.int64()),
                             *([pa.array(ids, pa.binary())] if keep_ids else []),
                         ]

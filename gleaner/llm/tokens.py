@@ -68,6 +68,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.largest_id = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.bytes = _printable_bytes()
         # White space without an id of its own leads nowhere, and case is folded with it.
         self.folds = not self._whole("\n") and self._whole("A") == self._whole("a")

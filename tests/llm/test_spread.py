@@ -185,6 +185,7 @@ def test_no_documents_give_no_sequences(empty):
 
 def test_checksums_are_crc32c():
     assert records.crc32c([b"123456789", bytes(32), bytes([255] * 32)]).tolist() == [0xE3069283, 0x8A9136AA, 0x62A8AB43]
+    assert records.crc32c([b"", b"a", b"123456789"]).tolist() == [0, 0xC1D04330, 0xE3069283]
     rng = np.random.default_rng(0)
     payloads = [rng.bytes(n) for n in (4, 8, 511, 512, 513, 5000)]
     data = list(records.frames(payloads))
