@@ -59,5 +59,6 @@ def materialised(df: DataFrame, label: str = "rows") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label) + "/rows"
-    df.write.parquet(path)
+    # Texts take a quarter less than by the default codec, for little more time.
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
