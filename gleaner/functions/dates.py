@@ -13,22 +13,27 @@ from .expr import blank_to_null, let
 from .text import meta_content, strip
 
 _ZONE = r"([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?"
-_TIME = r"(\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,6})\d*)?)?"
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,6})\d*)?)?(?:\s*([AaPp])\.?[Mm]\b\.?)?"
 
 # Accepted layouts and where each puts
-# year|month|day|hour|minute|second|fraction|zone.
+# year|month|day|hour|minute|second|fraction|half of the day|zone.
 LAYOUTS = (
-    (rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})(?:[Tt ]{_TIME})?\s*{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7|$8"),
+    (rf"^(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}})(?:[Tt ]\s*{_TIME})?\s*{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7|$8|$9"),
     (
-        rf"^(?:[A-Za-z]+,?\s+)?(\d{{1,2}})\s+([A-Za-z]{{3,9}})\.?,?\s+(\d{{4}})(?:,?\s+{_TIME})?\s*{_ZONE}$",
-        "$3|$2|$1|$4|$5|$6|$7|$8",
+        rf"^(?:[A-Za-z]+,?\s+)?(\d{{1,2}})(?:\s+|-)([A-Za-z]{{3,9}})\.?,?(?:\s+|-)(\d{{4}}|\d{{2}})(?:,?\s+{_TIME})?\s*{_ZONE}$",
+        "$3|$2|$1|$4|$5|$6|$7|$8|$9",
     ),
     (
         rf"^(?:[A-Za-z]+,\s+)?([A-Za-z]{{3,9}})\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?:,?\s+{_TIME})?\s*{_ZONE}$",
-        "$3|$1|$2|$4|$5|$6|$7|$8",
+        "$3|$1|$2|$4|$5|$6|$7|$8|$9",
     ),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1|$2|$3|||||"),
-    (r"^(\d{4})(?:-(\d{2}))?$", "$1|$2||||||"),
+    (
+        rf"^(?:[A-Za-z]+,?\s+)?([A-Za-z]{{3,9}})\s+(\d{{1,2}})\s+{_TIME}\s*{_ZONE}\s+(\d{{4}})$",
+        "$9|$1|$2|$3|$4|$5|$6|$7|$8",
+    ),
+    (rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})(?:,?\s+{_TIME})?\s*{_ZONE}$", "$3|$1|$2|$4|$5|$6|$7|$8|$9"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[Tt](\d{{2}})(\d{{2}})(\d{{2}})?\s*{_ZONE})?$", "$1|$2|$3|$4|$5|$6|||$7"),
+    (r"^(\d{4})(?:-(\d{2}))?$", "$1|$2|||||||"),
 )
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -50,11 +55,23 @@ def _month_number(m: Column) -> Column:
     named = F.when((at > 0) & (at % 3 == 1), F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
     return (
         F.when(m == "", F.lit("01"))
-        .when(m.rlike(r"^\d+$"), m)
+        .when(m.rlike(r"^\d+$"), F.lpad(m, 2, "0"))
         .otherwise(F.coalesce(named, F.lit("00")))
     )
 
 
+def _year(y: Column) -> Column:
+    """Two digits are a year from 1950 to 2049, as mail headers have it."""
+    return F.when(F.length(y) == 4, y).otherwise(F.concat(F.when(y < "50", F.lit("20")).otherwise(F.lit("19")), y))
+
+
+def _hour(hour: Column, half: Column) -> Column:
+    """Hour of the day; null where a half of the day is given with an hour beyond 12."""
+    at = hour.try_cast("int")
+    halved = F.when(at.between(1, 12), at % 12 + F.when(F.lower(half) == "p", F.lit(12)).otherwise(F.lit(0)))
+    return F.lpad(F.when(hour == "", F.lit(0)).when(half == "", at).otherwise(halved).cast("string"), 2, "0")
+
+
 def _zone(z: Column) -> Column:
     digits = F.regexp_replace(z, ":", "")
     return (
@@ -76,9 +93,9 @@ def _canonical(p: Column) -> Column:
         part(7).rlike("[1-9]"), F.concat(F.lit("."), F.rpad(part(7), 6, "0"))
     ).otherwise(F.lit(""))
     iso = F.concat(
-        part(1), F.lit("-"), _month_number(part(2)), F.lit("-"), day, F.lit("T"),
-        or_zero(part(4)), F.lit(":"), or_zero(part(5)), F.lit(":"), or_zero(part(6)),
-        fraction, _zone(part(8)),
+        _year(part(1)), F.lit("-"), _month_number(part(2)), F.lit("-"), day, F.lit("T"),
+        _hour(part(4), part(8)), F.lit(":"), or_zero(part(5)), F.lit(":"), or_zero(part(6)),
+        fraction, _zone(part(9)),
     )
     return let(iso, lambda t: F.when(instant(t).isNotNull(), t))
 

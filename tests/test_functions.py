@@ -111,6 +111,17 @@ def test_page_author(value):
         ("junk", None),
         ("", None),
         (None, None),
+        ("1 May 2019 10:00 PM", "2019-05-01T22:00:00"),
+        ("May 1, 2019 12:30 a.m.", "2019-05-01T00:30:00"),
+        ("1 May 2019 13:00 PM", None),
+        ("2019/05/01", "2019-05-01T00:00:00"),
+        ("2019-5-1 9:05", "2019-05-01T09:05:00"),
+        ("05/01/2019", "2019-05-01T00:00:00"),
+        ("1-May-2019", "2019-05-01T00:00:00"),
+        ("20190501T100000Z", "2019-05-01T10:00:00+00:00"),
+        ("Wed May  1 10:00:00 2019", "2019-05-01T10:00:00"),
+        ("Wed, 01 May 19 10:00:00 GMT", "2019-05-01T10:00:00+00:00"),
+        ("1 May 99", "1999-05-01T00:00:00"),
     ],
 )
 def test_parse_date(value, raw, iso):
