@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .expr import blank_to_null, let
-from .text import meta_content, strip
+from .text import VALUE, meta_content, shown_markup, strip
 
 _ZONE = r"([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?"
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,6})\d*)?)?(?:\s*([AaPp])\.?[Mm]\b\.?)?"
@@ -46,7 +46,7 @@ DATE_METAS = (
     ("itemprop", "datePublished"),
     ("property", "og:published_time"),
 )
-_JSON_LD = r"(?is)<script\b[^>]*\stype\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script\s*>"
+_JSON_LD = r"(?is)<script\b[^>]*\stype\s*=\s*[\"']?application/ld\+json(?=[\"'\s>])[^>]*>(.*?)</script\s*>"
 _JSON_LD_SCHEMA = "array<struct<datePublished:string,dateCreated:string,dateModified:string>>"
 
 
@@ -140,12 +140,12 @@ def url_date(url: Column) -> Column:
 
 def time_date(html: Column) -> Column:
     """Date of the first ``<time datetime>`` element."""
-    return parse_date(F.regexp_extract(html, r"(?is)<time\b[^>]*\sdatetime\s*=\s*([\"'])(.*?)\1", 2))
+    return parse_date(F.regexp_extract(shown_markup(html), rf"(?is)<time\b[^>]*\sdatetime{VALUE}", 1))
 
 
 def meta_date(html: Column) -> Column:
     """First meta tag in order of preference whose content parses."""
-    return first_date(*[meta_content(html, a, v) for a, v in DATE_METAS])
+    return let(shown_markup(html), lambda shown: first_date(*[meta_content(shown, a, v) for a, v in DATE_METAS]))
 
 
 def jsonld_date(html: Column) -> Column:

@@ -24,10 +24,10 @@ _MARKUP = (
     r"|</?[a-z][^>]*>"
     r"|<[!?][^>]*>"
 )
-_DROPPED = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style|noscript|template|nav|footer|aside|header|form)\b[^>]*>.*?</\1\s*>"
-)
+_HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
+_DROPPED = r"(?is)<(noscript|nav|footer|aside|header|form)\b[^>]*>.*?</\1\s*>"
+#: The one group of an attribute's value, in double quotes, single quotes or none.
+VALUE = r"\s*=\s*[\"']?((?<=\")[^\"]*|(?<=')[^']*|(?<![\"'])[^\s\"'>]+)"
 _REGIONS = ("article", "main", "body")
 _BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure"
@@ -113,6 +113,11 @@ def joined_lines(lines: Column) -> Column:
     return F.array_join(F.filter(lines, lambda t: t != ""), "\n")
 
 
+def shown_markup(html: Column) -> Column:
+    """Markup without comments, scripts, styles and templates."""
+    return F.regexp_replace(html, _HIDDEN, "")
+
+
 def _inside_or(html: Column, tag: str, fallback: Column) -> Column:
     inside = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\b", 1)
     return let(inside, lambda t: F.when(t != "", t).otherwise(fallback))
@@ -129,11 +134,12 @@ def _region(html: Column) -> Column:
 def main_text(html: Column) -> Column:
     """Readable text of a page.
 
-    Comments, scripts, styles and boilerplate elements go first; then the
-    article, else main, else body region is taken, block tags become line breaks,
-    and blank lines and repeated spaces collapse.
+    Comments, scripts and styles go first; then the article, else main, else body
+    region is taken and loses its boilerplate elements, so a form around the
+    article drops nothing. Block tags become line breaks, and blank lines and
+    repeated spaces collapse.
     """
-    region = let(F.regexp_replace(html, _DROPPED, ""), _region)
+    region = F.regexp_replace(let(shown_markup(html), _region), _DROPPED, "")
     lines = F.regexp_replace(F.regexp_replace(region, _BLOCK_TAG, "\n"), _ANY_TAG, "")
     spaced = F.regexp_replace(unescape(lines), _SPACES, " ")
     return joined_lines(F.transform(F.split(spaced, "\n"), lambda t: F.trim(t)))
@@ -141,16 +147,19 @@ def main_text(html: Column) -> Column:
 
 def page_title(html: Column) -> Column:
     """``og:title``, else the first heading, else the document title; null when absent."""
-    og = meta_content(html, "property", "og:title")
-    heading = F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
-    title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
 
     def clean(c: Column) -> Column:
         tagless = F.regexp_replace(c, _ANY_TAG, "")
         text = strip(F.regexp_replace(unescape(tagless), r"(?U)[\s\x1c-\x1f]+", " "))
         return let(text, lambda t: F.when(t != "", t))
 
-    return F.coalesce(clean(og), clean(heading), clean(title))
+    def first(shown: Column) -> Column:
+        og = meta_content(shown, "property", "og:title")
+        heading = F.regexp_extract(shown, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
+        title = F.regexp_extract(shown, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+        return F.coalesce(clean(og), clean(heading), clean(title))
+
+    return let(shown_markup(html), first)
 
 
 def page_author(html: Column) -> Column:
@@ -165,4 +174,4 @@ def meta_content(html: Column, attribute: str, value: str) -> Column:
         rf"(?is)<meta\b(?=[^>]*\s{attribute}\s*=\s*[\"']?{value.replace('.', '[.]')}[\"'\s/>])[^>]*>",
         0,
     )
-    return F.regexp_extract(tag, r"(?is)\scontent\s*=\s*([\"'])(.*?)\1", 2)
+    return F.regexp_extract(tag, rf"(?is)\scontent{VALUE}", 1)

@@ -12,10 +12,10 @@ from pyspark.sql import Column, functions as F
 
 from ..params import EXCLUDE_PATTERNS, SKIP_LINK_PATTERNS
 from .expr import any_of
-from .text import unescape
+from .text import VALUE, shown_markup, unescape
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
-LINK = r"(?is)<a\b[^>]*\shref\s*=\s*([\"'])(.*?)\1"
+LINK = rf"(?is)<a\b[^>]*\shref{VALUE}"
 
 
 def authority(url: Column) -> Column:
@@ -39,8 +39,8 @@ def is_skipped_link(href: Column, exclude_patterns=EXCLUDE_PATTERNS) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """All link targets in document order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(2)), unescape)
+    """All link targets in document order, none from comments and scripts."""
+    return F.transform(F.regexp_extract_all(shown_markup(html), F.lit(LINK), F.lit(1)), unescape)
 
 
 def resolve(href: Column, base_url: Column) -> Column:

@@ -281,3 +281,20 @@ def test_document_name(value):
     name = fields.document_name(c("i"), c("p"))
     assert value(name, i="my_src_abc123def456", p="2025-01-15T01:00:00") == "my_src_2025-01-15_abc123def456.txt"
     assert value(name, i="my_src_abc123def456", p=None) == "my_src_abc123def456.txt"
+
+
+def test_markup_in_comments_and_scripts_is_not_read(value):
+    hidden = "<!-- <a href='/old'>x</a><h1>Old</h1><time datetime='2001-01-01'></time><meta name='date' content='2001-01-01'> -->"
+    hidden += "<script>var a = '<a href=\"/js\">x</a>'</script>"
+    page = hidden + "<a class=b href=/plain>x</a><h1>New</h1><time datetime=2025-01-06></time><meta name=date content=2025-01-05>"
+    assert value(urls.hrefs(c("t")), t=page + "<a href=''>e</a><a href=\"/it's\">q</a>") == ["/plain", "", "/it's"]
+    assert value(text.page_title(c("t")), t=page) == "New"
+    assert value(dates.time_date(c("t")), t=page) == "2025-01-06T00:00:00"
+    assert value(dates.meta_date(c("t")), t=page) == "2025-01-05T00:00:00"
+    listed = '<script type=application/ld+json>{"datePublished": "2025-02-04"}</script>'
+    assert value(dates.jsonld_date(c("t")), t=listed) == "2025-02-04T00:00:00"
+
+
+def test_a_form_around_the_article_drops_nothing(value):
+    page = "<body><form><nav>n</nav><article><p>a</p><form>f</form><p>b</p></article></form></body>"
+    assert value(text.main_text(c("t")), t=page) == "a\nb"
