@@ -28,7 +28,7 @@ FILE_BYTES = 32 << 20
 #: Archives are read in ranges of this size; a record belongs to the range it begins in.
 RANGE_BYTES = 64 << 20
 CHUNK = 1 << 18
-#: Longest header block; a longer one is damage.
+#: A header block of a plain archive is read in steps of this size until its end is found.
 HEADER_BYTES = 1 << 16
 MAGIC, VERSION, END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -161,8 +161,7 @@ def _record(read_at: Callable[[int, int], bytes], size: int, at: int) -> Record:
             raise _Damage("content length does not match the member")
         block, tail = data[body : body + length], data[body + length :]
     elif head == VERSION:
-        raw = read_at(HEADER_BYTES, at)
-        headers, body = _header(raw)
+        headers, body = _header(_header_bytes(read_at, at))
         length = _content_length(headers)
         end = at + body + length + len(END)
         if end > size:
@@ -197,8 +196,19 @@ def _member_at(read_at: Callable[[int, int], bytes], size: int, at: int) -> tupl
     return b"".join(parts), place - len(unpack.unused_data)
 
 
+def _header_bytes(read_at: Callable[[int, int], bytes], at: int) -> bytes:
+    """What stands from ``at`` on, at least up to the end of the header block where there is one."""
+    held = bytearray()
+    while raw := read_at(HEADER_BYTES, at + len(held)):
+        searched = max(0, len(held) - len(END) + 1)
+        held += raw
+        if held.find(END, searched) >= 0:
+            break
+    return bytes(held)
+
+
 def _header(data: bytes) -> tuple[dict[str, str], int]:
-    end = data.find(END, 0, HEADER_BYTES)
+    end = data.find(END)
     if not data.startswith(VERSION) or end < 0:
         raise _Damage("no complete header block")
     headers = _fields(data[:end].split(b"\r\n")[1:])
@@ -324,16 +334,20 @@ def _rows(found: list[tuple]) -> pa.RecordBatch:
 def page_table(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes archives of ``pages`` below ``folder`` and reads them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Records with a problem and gaps stay out; fresh archives have none.
+    Fresh archives have no gaps and no records with a problem; fewer valid records than were written are an error.
     """
     folder = folder or scratch_dir(spark, "warc")
     write_pages(pages, f"{folder}/data").write.parquet(f"{folder}/files")
-    records = read_archives(spark.read.parquet(f"{folder}/files"))
+    files = spark.read.parquet(f"{folder}/files")
+    records = materialised(read_archives(files).where("problem IS NULL"), "records")
+    n_written, n_read = files.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0], records.count()
+    if n_read != n_written:
+        raise RuntimeError(f"{n_written} records were written to {folder} and {n_read} read back")
     number = r"^<urn:page:(-?\d+)>$"
 
     def page(urn: str):
         return F.when(F.col(urn).rlike(number), F.regexp_extract(urn, number, 1).cast("long"))
 
-    return records.where("problem IS NULL").select(
+    return records.select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
     )

@@ -172,3 +172,17 @@ def test_salvage_finds_later_records_and_logs_gaps(packed):
     parts = read(whole, stop=middle) + read(whole, start=middle)
     assert [r.start for r in parts] == starts[:-1]
     assert read(b"") == []
+
+
+def test_long_headers_are_read_back(spark, monkeypatch):
+    long = "http://h/?q=" + "é " * 60_000
+    rows = [(1, "http://h/1", "<p>a</p>"), (2, long, "<p>b</p>"), (3, "http://h/3", "<p>c</p>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.page_table(spark, frame).collect()) == [1, 2, 3]
+    plain = b"".join(warc.page_record(k, url, page.encode(), warc.base32_sha1(page.encode()), None, "2025-01-01T00:00:00Z") for k, url, page in rows)
+    found = list(warc.salvage(lambda n, at: plain[at : at + n], len(plain)))
+    assert [r.headers["warc-record-id"] for r in found] == [f"<urn:page:{k}>" for k in (1, 2, 3)]
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda files: read(files).where("record_id != '<urn:page:2>'"))
+    with pytest.raises(RuntimeError):
+        warc.page_table(spark, frame)
