@@ -39,17 +39,19 @@ BLOCKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 li pre tr caption thead tbody tfoot dt dd figcaption hr address hgroup summary legend fieldset".split()
 )
 IN_HEAD = frozenset("meta link base script style title noscript template head html".split())
-#: Words of a class, id or role that mark what is not the article.
+#: Whole tokens of a class, id or role that mark what is not the article.
 MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar rail menu nav "
     "navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices popup modal overlay "
     "newsletter subscribe signup login share sharing social related recommended comment comments commentlist reply replies "
-    "respond disqus widget contentinfo complementary search".split()
+    "respond disqus widget contentinfo complementary search comments-area comment-list comment-respond site-header site-footer "
+    "page-header page-footer main-nav site-nav side-bar cookie-banner cookie-notice related-posts share-buttons".split()
 )
-#: The page's frame and its declared article are never dropped for a class.
+#: Marks of what may hold articles that are not the page's own.
+OTHERS = frozenset("comment comments commentlist comments-area comment-list reply replies respond disqus related related-posts recommended".split())
+#: The page's frame and its declared article are never dropped for a class of their own.
 FRAME = frozenset("html body main article".split())
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-WORDS = re.compile(r"[a-z]+")
 
 
 @dataclass
@@ -86,10 +88,17 @@ class Page:
 
 
 def parse(page: str) -> Page:
-    """Blocks outside all that is dropped. Broken markup is read as far as it goes."""
+    """Blocks outside all that is dropped. Broken markup is read as far as it goes.
+
+    A form or an element with a mark keeps the article or main that it encloses
+    where the page declares no other; a form also keeps its text where it holds
+    more running text than stands outside of it.
+    """
     found = Page()
+    #: As many states as blocks: what drops each of them.
+    states: list[int] = []
     # (tag, path, dropped) of the open containers
-    stack: list[tuple[str, str, bool]] = [("", "", False)]
+    stack: list[tuple[str, str, int]] = [("", "", KEPT)]
     parts: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -102,10 +111,11 @@ def parse(page: str) -> Page:
             if text:
                 away = len(" ".join(html.unescape("".join(linked)).split())) if linked else 0
                 found.blocks.append((stack[-1][1], text, max(0, len(text) - away)))
+                states.append(stack[-1][2])
         parts, linked = [], []
 
     for token in TOKEN.finditer(page):
-        if token.start() > at and not stack[-1][2]:
+        if token.start() > at and stack[-1][2] != DROP:
             text = page[at : token.start()]
             parts.append(text)
             if in_link:
@@ -143,24 +153,61 @@ def parse(page: str) -> Page:
                 continue
             label, dropped = _label(tag, token[4])
             _, path, above = stack[-1]
-            stack.append((tag, f"{path}/{label}" if path else label, above or dropped))
-    if at < len(page) and not stack[-1][2]:
+            if tag in ("article", "main") and above in (IN_FORM, IN_MARK):
+                above = DECLARED
+            stack.append((tag, f"{path}/{label}" if path else label, _below(above, dropped)))
+    if at < len(page) and stack[-1][2] != DROP:
         parts.append(page[at:])
     flush()
+    found.blocks = _kept(found.blocks, states)
     return found
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """(generalised tag and classes, whether the element is dropped)."""
+#: What drops a block: nothing; only what encloses the declared article it is in; forms; a mark; a mark of others' texts; an element of DROPPED.
+KEPT, DECLARED, IN_FORM, IN_MARK, IN_OTHERS, DROP = range(6)
+
+
+def _below(above: int, own: int) -> int:
+    """The state inside an element with the state ``own`` that stands in one with the state ``above``."""
+    if above == DECLARED and own != KEPT:
+        return DROP
+    return max(above, own)
+
+
+def _kept(blocks: list[tuple[str, str, int]], states: list[int]) -> list[tuple[str, str, int]]:
+    def declares(state: int) -> bool:
+        return any(
+            s == state and b[2] and not {"article", "main"}.isdisjoint(step.split(".")[0] for step in b[0].split("/"))
+            for b, s in zip(blocks, states, strict=True)
+        )
+
+    taken = {KEPT}
+    if not declares(KEPT):
+        if declares(DECLARED):
+            taken.add(DECLARED)
+        else:
+            running = [sum(b[2] for b, s in zip(blocks, states, strict=True) if s == state) for state in (KEPT, IN_FORM)]
+            if running[1] > running[0]:
+                taken.add(IN_FORM)
+    return [b for b, s in zip(blocks, states, strict=True) if s in taken]
+
+
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    """(generalised tag and classes, what the element drops its content for)."""
+    marked = (IN_FORM if tag == "form" else DROP) if tag in DROPPED else KEPT
     if not attributes.strip():
-        return tag, tag in DROPPED
-    classes, marked = [], tag in DROPPED
+        return tag, marked
+    classes = []
     for name, *values in ATTRIBUTE.findall(attributes):
         value = html.unescape("".join(values)).lower()
         if name.lower() == "class":
             classes += [re.sub(r"\d+", "#", c.replace("/", "")) for c in value.split()]
-        if tag not in FRAME and not marked:
-            marked = not MARKS.isdisjoint(WORDS.findall(value))
+        if tag not in FRAME and marked != DROP:
+            tokens = {t.rstrip("0123456789-_").replace("_", "-") for t in value.split()}
+            if not OTHERS.isdisjoint(tokens):
+                marked = IN_OTHERS
+            elif marked < IN_MARK and tag != "form" and not MARKS.isdisjoint(tokens):
+                marked = IN_MARK
     return ".".join([tag, *sorted(set(classes))]), marked
 
 

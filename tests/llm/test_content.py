@@ -186,3 +186,20 @@ def test_long_headers_are_read_back(spark, monkeypatch):
     monkeypatch.setattr(warc, "read_archives", lambda files: read(files).where("record_id != '<urn:page:2>'"))
     with pytest.raises(RuntimeError):
         warc.page_table(spark, frame)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><form id='aspnetForm'><nav>menu</nav><article>%s<form>form</form></article><div class='ad'>advert</div></form></body>",
+        "<body><form id='aspnetForm'><div class='ad'>advert</div><div>%s</div></form><p>few</p></body>",
+        "<div class='layout has-sidebar'><article>%s</article><div class='sidebar'>side</div></div>",
+        "<div class='content no-sidebar'><div class='site-content header-fixed'>%s</div></div>",
+        "<div id='page-with-comments'>%s<div id='comments'><article>a reader says a lot more than all the text above</article></div></div>",
+        "<div class='widget'><main>%s</main></div>",
+    ],
+)
+def test_wrappers_keep_the_article(page):
+    text = "The article of this page, which goes on for a while."
+    read = html_text.parse(page % f"<p>{text}</p>")
+    assert read.below(read.votes()) == [text]
