@@ -3,8 +3,8 @@
 Each page scores its own containers by the running text they hold. The best one
 is the page's vote, as a path of tags and classes with numbers generalised.
 Spark counts the votes of a host, and every page is then read again: its text is
-what stands below the path with most votes among those it has. A page with none
-of them is read by its own vote.
+what stands below the path with most votes among those it has. A page's own vote
+is one of these, so every page with running text has such a path.
 """
 
 from __future__ import annotations
@@ -83,6 +83,15 @@ class Page:
                     return "/".join(steps[: at + 1])
         return best
 
+    def paths(self) -> list[str]:
+        """The paths of all containers that hold a block, sorted."""
+        found = set()
+        for own, _, _ in self.blocks:
+            while own and own not in found:
+                found.add(own)
+                own = own.rpartition("/")[0]
+        return sorted(found)
+
     def below(self, path: str) -> list[str]:
         return [text for own, text, _ in self.blocks if own == path or own.startswith(f"{path}/")]
 
@@ -216,53 +225,54 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def own_vote(page: Column) -> Column:
-    """The path that each page votes for; null where it has no text."""
+def shape_of(page: Column) -> Column:
+    """struct(code, vote, paths): a hash of the paths of each page, the path it votes for (null without text), and the paths."""
+
+    @F.pandas_udf("code long, vote string, paths array<string>")
+    def shaped(pages: pd.Series) -> pd.DataFrame:
+        read = [parse(p) if p else Page() for p in pages]
+        paths = [p.paths() for p in read]
+        return pd.DataFrame({"code": [_code(p) for p in paths], "vote": [p.votes() for p in read], "paths": paths})
+
+    return shaped(page)
+
 
-    @F.pandas_udf("string")
-    def voted(pages: pd.Series) -> pd.Series:
-        return pd.Series([parse(p).votes() if p else None for p in pages], dtype=object)
+def blocks_of(page: Column) -> Column:
+    """struct(code, blocks) with the blocks of each page as (path, text)."""
 
-    return voted(page)
+    @F.pandas_udf("code long, blocks array<struct<path: string, text: string>>")
+    def read(pages: pd.Series) -> pd.DataFrame:
+        found = [parse(p) if p else Page() for p in pages]
+        blocks = [[{"path": path, "text": text} for path, text, _ in p.blocks] for p in found]
+        return pd.DataFrame({"code": [_code(p.paths()) for p in found], "blocks": blocks})
 
+    return read(page)
 
-def text_below(page: Column, paths: Column) -> Column:
-    """The text of each page below the first of its paths that has any, else below its own vote."""
 
-    @F.pandas_udf("string")
-    def extracted(pages: pd.Series, choices: pd.Series) -> pd.Series:
-        out = []
-        for markup, own in zip(pages, choices, strict=True):
-            read = parse(markup) if markup else Page()
-            blocks = next((b for b in map(read.below, own if own is not None else ()) if b), None)
-            if blocks is None:
-                vote = read.votes()
-                blocks = read.below(vote) if vote is not None else []
-            out.append("\n\n".join(blocks))
-        return pd.Series(out, dtype=object)
+def _code(paths: list[str]) -> int:
+    from xxhash import xxh64_intdigest
 
-    return extracted(page, paths)
+    code = xxh64_intdigest("\n".join(paths).encode("utf-8", "surrogatepass"))
+    return code - (1 << 64) if code >> 63 else code
 
 
-def host_paths(pages: DataFrame, share: float = 0.02) -> DataFrame:
-    """(host, paths): paths with at least ``share`` of the host's votes, most votes first, so at most 1 / ``share`` of them.
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, code, path): for pages of a host with equal paths, the one of these with most votes of the host.
 
-    Equal votes go by the path's text. Votes are added up before the shuffle.
+    Equal votes go by the path's text. Every path that any page voted for counts;
+    votes are added up before the shuffle and joined by host and path, so a hot host is split.
     """
-    votes = (
-        pages.select(host_of(F.col("url")).alias("host"), own_vote(F.col("html")).alias("path"))
-        .where("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n"))
-    )
-    all_votes = votes.groupBy("host").agg(F.sum("n").alias("all_n"))
-    ranked = votes.join(all_votes, "host").where(F.col("n") >= F.col("all_n") * share)
-    return ranked.groupBy("host").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "path"))), lambda x: x["path"]
-        ).alias("paths")
+    read = pages.select(host_of(F.col("url")).alias("host"), shape_of(F.col("html")).alias("_shape")).select("host", "_shape.*")
+    shapes = materialised(
+        read.groupBy("host", "code", "vote").agg(F.min("paths").alias("paths"), F.count("*").alias("n")), "shapes"
     )
+    votes = shapes.where("vote IS NOT NULL").groupBy("host", F.col("vote").alias("path")).agg(F.sum("n").alias("n"))
+    own = shapes.select("host", "code", F.explode("paths").alias("path")).distinct()
+    best = F.min(F.struct((-F.col("n")).alias("k"), "path"))
+    return own.join(votes, ["host", "path"]).groupBy("host", "code").agg(best.alias("best")).select("host", "code", "best.path")
 
 
-def main_texts(pages: DataFrame, share: float = 0.02) -> DataFrame:
+def main_texts(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars (code points).
 
     Null, empty and text-less pages have an empty text. Pages without a host
@@ -270,8 +280,14 @@ def main_texts(pages: DataFrame, share: float = 0.02) -> DataFrame:
     two line feeds. Reads page_id, url and html only, html twice.
     """
     # Written, so that Spark sees its size: a small table goes to the pages, and a hot host can be split.
-    paths = materialised(host_paths(pages, share), "paths")
-    read = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(paths, "host", "left")
-    return read.select("page_id", "url", text_below(F.col("html"), F.col("paths")).alias("text")).withColumn(
+    paths = materialised(host_paths(pages), "paths")
+    read = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), blocks_of(F.col("html")).alias("_read")).select(
+        "page_id", "url", "host", "_read.*"
+    )
+    below = F.filter(
+        "blocks", lambda b: (b["path"] == F.col("path")) | b["path"].startswith(F.concat(F.col("path"), F.lit("/")))
+    )
+    text = F.coalesce(F.array_join(F.transform(below, lambda b: b["text"]), "\n\n"), F.lit(""))
+    return read.join(paths, ["host", "code"], "left").select("page_id", "url", text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")
     )

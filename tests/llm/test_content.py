@@ -203,3 +203,17 @@ def test_wrappers_keep_the_article(page):
     text = "The article of this page, which goes on for a while."
     read = html_text.parse(page % f"<p>{text}</p>")
     assert read.below(read.votes()) == [text]
+
+
+def test_every_template_of_a_hot_host_keeps_its_consensus(spark):
+    def page(template, article, comment):
+        return f"<body><div class='t{chr(97 + template % 26)}{chr(97 + template // 26)}'><div class='post'><p>{article}</p></div><div class='talk'><p>{comment}</p></div></div></body>"
+
+    long, short = "The article goes on and on with many more words.", "A short article."
+    rows = []
+    for template in range(80):
+        rows += [(4 * template + k, "http://hot/", page(template, f"{long} {k}", "few")) for k in range(3)]
+        rows.append((4 * template + 3, "http://hot/", page(template, short, "a reader talks for much longer than the article does")))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.main_texts(frame).collect()}
+    assert found == {p: short if p % 4 == 3 else f"{long} {p % 4}" for p, _, _ in rows}
