@@ -217,3 +217,15 @@ def test_every_template_of_a_hot_host_keeps_its_consensus(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r.text for r in html_text.main_texts(frame).collect()}
     assert found == {p: short if p % 4 == 3 else f"{long} {p % 4}" for p, _, _ in rows}
+
+
+def test_driver_pages_give_exactly_their_article(spark):
+    import html as markup
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    texts = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)
+        blocks = re.split(r"</?(?:p|h1|b|br)>", article[1]) if article else []
+        expected = [b for b in (" ".join(markup.unescape(b).split()) for b in blocks) if b]
+        assert texts[r.page_id].split("\n\n") == (expected or [""])
