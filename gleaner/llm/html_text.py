@@ -4,7 +4,8 @@ Each page scores its own containers by the running text they hold. The best one
 is the page's vote, as a path of tags and classes with numbers generalised.
 Spark counts the votes of a host, and every page is then read again: its text is
 what stands below the path with most votes among those it has. A page's own vote
-is one of these, so every page with running text has such a path.
+is one of these, and all paths start at a root of every page's own, also of one
+without a body tag; so every page with running text has such a path.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from gleaner.session import materialised
 
+#: The implicit element around a whole page.
+ROOT = "page"
 #: Elements whose content is never running text, up to their end tag whatever stands inside.
 RAW = "script|style|title|textarea|iframe|noembed|noframes"
 TOKEN = re.compile(
@@ -101,13 +104,14 @@ def parse(page: str) -> Page:
 
     A form or an element with a mark keeps the article or main that it encloses
     where the page declares no other; a form also keeps its text where it holds
-    more running text than stands outside of it.
+    more running text than stands outside of it, and elements with a mark keep
+    theirs where they hold over three quarters of the page's running text.
     """
     found = Page()
     #: As many states as blocks: what drops each of them.
     states: list[int] = []
     # (tag, path, dropped) of the open containers
-    stack: list[tuple[str, str, int]] = [("", "", KEPT)]
+    stack: list[tuple[str, str, int]] = [("", ROOT, KEPT)]
     parts: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -164,7 +168,7 @@ def parse(page: str) -> Page:
             _, path, above = stack[-1]
             if tag in ("article", "main") and above in (IN_FORM, IN_MARK):
                 above = DECLARED
-            stack.append((tag, f"{path}/{label}" if path else label, _below(above, dropped)))
+            stack.append((tag, f"{path}/{label}", _below(above, dropped)))
     if at < len(page) and stack[-1][2] != DROP:
         parts.append(page[at:])
     flush()
@@ -195,9 +199,13 @@ def _kept(blocks: list[tuple[str, str, int]], states: list[int]) -> list[tuple[s
         if declares(DECLARED):
             taken.add(DECLARED)
         else:
-            running = [sum(b[2] for b, s in zip(blocks, states, strict=True) if s == state) for state in (KEPT, IN_FORM)]
-            if running[1] > running[0]:
+            kept, form, mark, others = (
+                sum(b[2] for b, s in zip(blocks, states, strict=True) if s == state) for state in (KEPT, IN_FORM, IN_MARK, IN_OTHERS)
+            )
+            if form > kept:
                 taken.add(IN_FORM)
+            if mark > 3 * (kept + form + others):
+                taken.add(IN_MARK)
     return [b for b, s in zip(blocks, states, strict=True) if s in taken]
 
 

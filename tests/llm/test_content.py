@@ -77,18 +77,6 @@ def test_main_text(spark):
     assert html_text.main_texts(frame.where("false")).collect() == []
 
 
-def test_driver_pages_keep_their_article(spark):
-    import html as markup
-
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    texts = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
-    for r in pages.collect():
-        article = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)
-        blocks = re.split(r"</?(?:p|h1|b|br)>", article[1]) if article else []
-        expected = [" ".join(markup.unescape(b).split()) for b in blocks]
-        assert texts[r.page_id].split("\n\n") == [b for b in expected if b] or ([""])
-
-
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -229,3 +217,30 @@ def test_driver_pages_give_exactly_their_article(spark):
         blocks = re.split(r"</?(?:p|h1|b|br)>", article[1]) if article else []
         expected = [b for b in (" ".join(markup.unescape(b).split()) for b in blocks) if b]
         assert texts[r.page_id].split("\n\n") == (expected or [""])
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        ("<!DOCTYPE html><title>t</title><p>Hello</p>", ["Hello"]),
+        ("plain text\n of a page", ["plain text of a page"]),
+        ("<h1>Head</h1><p>a long paragraph of this page</p><div><p>short</p></div>", ["Head", "a long paragraph of this page", "short"]),
+        ("<section id='menu'><p>The only running text of this page.</p></section>", ["The only running text of this page."]),
+        ("<body><div class='main header'><p>The only running text of this page.</p></div><p>ad</p></body>", ["The only running text of this page."]),
+        ("<body><div><p>A short article.</p></div><div class='cookie'><p>This notice is longer than the article.</p></div></body>", ["A short article."]),
+    ],
+)
+def test_pages_without_a_body_or_with_a_marked_wrapper(page, blocks):
+    read = html_text.parse(page)
+    found = read.below(read.votes())
+    assert blocks[-1] in found and "This notice is longer than the article." not in found
+    if "<div class='main" not in page:
+        assert found == blocks
+
+
+def test_a_very_long_page_is_whole(spark):
+    blocks = [f"Paragraph {k} of a long page." for k in range(60_000)]
+    rows = [(1, "http://h/1", "<p>" + "<p>".join(blocks)), (2, "http://h/2", "<body><p>" + "<p>".join(blocks[:9]) + "</body>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text.split("\n\n") for r in html_text.main_texts(frame).collect()}
+    assert found == {1: blocks, 2: blocks[:9]}
