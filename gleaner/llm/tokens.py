@@ -29,7 +29,7 @@ TOUCHING = ("  ", " \n", "\n ", "\t", "\r", "\v", "\f")
 #: What stands for a blank in the byte alphabet; ASCII letters stand for themselves.
 BLANK = "\u0120"
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def _printable_bytes() -> dict[int, int]:
@@ -57,16 +57,18 @@ class _Memory(dict):
 class Encoder:
     """Encodes texts; remembers the ids of up to ``memory`` words and as many parts of words.
 
-    Ids are little-endian unsigned 32-bit. Names of special tokens inside a text
-    are ordinary text.
+    Ids are little-endian unsigned 32-bit. A special token's name inside a text
+    gives its id, as by the library's default; with ``names_as_text`` it is
+    ordinary text, so that no document can smuggle in an end of text.
     """
 
-    def __init__(self, path: str, memory: int = 650_000):
+    def __init__(self, path: str, memory: int = 650_000, names_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = names_as_text
+        self.names = [] if names_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.largest_id = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.bytes = _printable_bytes()
@@ -98,6 +100,8 @@ class Encoder:
         for text in texts:
             if not text:
                 yield b""
+            elif any(name in text for name in self.names):
+                yield self._whole(text)
             elif any(t in text for t in TOUCHING) or not (text.isascii() or WIDE_SPACE.search(text) is None):
                 yield self._ids(text)
             else:
@@ -105,11 +109,12 @@ class Encoder:
                 yield self._ids(first) + b"".join(map(ids_of, rest))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, names_as_text: bool = False) -> Encoder:
     """The encoder of a file, one per worker process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = path, names_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, names_as_text=names_as_text)
+    return _encoders[key]
 
 
 def vocabulary_path(name: str) -> str:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from gleaner.llm import mixing, packing, records, sharding
 from gleaner.llm.tokens import Encoder, vocabulary_path
@@ -118,9 +119,10 @@ CHARS = " \n\t\r ab'sdLLéñİß1²!?<|endoftext|>\x1c\x85\xa0　́\U0001f642"
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_ids_are_those_of_the_tokenizer(name, documents):
     encoder = Encoder(vocabulary_path(name), memory=50)
+    library = Tokenizer.from_file(vocabulary_path(name))
 
     def plain(text):
-        return np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(st.text(st.sampled_from(CHARS), max_size=30), max_size=4))
@@ -131,6 +133,10 @@ def test_ids_are_those_of_the_tokenizer(name, documents):
     texts = [r.text for r in documents.limit(60).collect()]
     assert list(encoder.encode(texts)) == [plain(t) for t in texts]
     assert list(encoder.encode([None, ""])) == [b"", b""]
+    named = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|startoftext|>A", "<|EndOfText|> z"]
+    assert list(encoder.encode(named)) == [plain(t) for t in named]
+    library.encode_special_tokens = True
+    assert list(Encoder(vocabulary_path(name), names_as_text=True).encode(named)) == [plain(t) for t in named]
 
 
 @settings(max_examples=60, deadline=None)
