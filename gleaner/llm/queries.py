@@ -1,4 +1,4 @@
-"""The digest queries of the ten operators, and SQL where it can express them."""
+"""The digest queries of the operators, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import html_text, language, mixing, packing, quality, records, sharding, simhash, vectors, warc
+from gleaner.llm import bpe, html_text, language, mixing, packing, quality, records, sharding, simhash, trie, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,54 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_table(spark, table(spark, sf_dir, "pages"))
+
+
+#: crc32 is worked out bit by bit; a node is the list of its turns' digests.
+TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'d': md5(length(role) || ':' || role || text), 's': octet_length(encode(text))::BIGINT}
+    ORDER BY turn NULLS FIRST, role, substr(text, 1, 32), md5(length(role) || ':' || role || text)) AS t
+  FROM turns GROUP BY conv_id
+), coded AS (
+  SELECT *, list_reduce(list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))) AS crc
+  FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.t[1 : xor(c.crc, 4294967295) % 9], []), c.t[xor(c.crc, 4294967295) % 9 + 1 :]) AS t
+  FROM coded c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), members AS (
+  SELECT conv_id, depth, [x.d FOR x IN t[1 : depth]] AS node, CASE WHEN depth > 0 THEN t[depth].s ELSE 0 END AS size, depth = len(t) AS ends
+  FROM (SELECT *, unnest(range(0, len(t) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth
+), children AS (
+  SELECT node[1 : depth - 1] AS parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), above AS (
+  SELECT n.node[1 : up] AS node, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM nodes) n LEFT JOIN children c ON c.parent = n.node GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, a.n_leaves,
+  a.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN above a ON a.node = n.node LEFT JOIN children c ON c.parent = n.node
+  LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1 : n.depth - 1]
+"""
+
+
+@query("op11_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"))
