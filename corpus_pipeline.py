@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import jaccard, language, mixing, packing, quality
+from gleaner.llm import language, mixing, packing, quality, simhash
 from gleaner.session import materialised
 
 #: SQL has no suffix automata, tokenizers or iteration to a fixed point.
@@ -13,10 +13,15 @@ ORACLE_SQL = None
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; null texts and texts without a letter go."""
+    """Documents in a language that can be told; null texts and texts without a letter go.
+
+    Where no row tells its language, there is nothing to tell by: all texts with a letter stay.
+    """
     models = language.learned(docs)
-    told = docs.withColumn("_language", language.language_of(F.col("text"), models))
-    return told.where(F.col("_language.lang_pred") != language.UNKNOWN).select(*docs.columns)
+    if not models.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = docs.select(F.struct("*").alias("doc"), language.language_of(F.col("text"), models).alias("found"))
+    return told.where(F.col("found.lang_pred") != language.UNKNOWN).select("doc.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +30,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of texts that a chain of five-word similarities of 0.8 or more joins."""
-    return jaccard.one_of_each(docs)
+    """One document of every group of texts that a chain of fingerprints at most two bits apart joins."""
+    return simhash.one_of_each(docs, words=3, bits=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
