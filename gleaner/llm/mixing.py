@@ -233,9 +233,10 @@ def mixed_documents(
     words with what stands between them, and n_chars, where there is such a column, is counted again.
     """
     numbered = materialised(
-        docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_size", n_words(F.col("text"))), "numbered"
+        docs.select(F.monotonically_increasing_id().alias("_row"), n_words(F.col("text")).alias("size"), F.struct("*").alias("_doc")),
+        "numbered",
     )
-    sizes = numbered.select("_row", "doc_id", "source", F.col("_size").alias("size"))
+    sizes = numbered.select("_row", "_doc.doc_id", "_doc.source", "size")
     taken = mixed_sizes(sizes, weights, share, ceiling, block_words, shards, seed).where("taken > 0")
     laps = taken.select("_row", "size", "cuts", F.explode(F.array_distinct(F.transform("cuts", lambda c: c["lap"]))).alias("_lap")).select(
         "_row",
@@ -247,13 +248,15 @@ def mixed_documents(
         ).alias("_cuts"),
     )
     words = F.aggregate("_cuts", F.lit(0).cast("long"), lambda a, c: a + c["high"] - c["low"])
-    parts = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    text = F.col("_doc.text")
+    parts = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     some = F.array_join(
         F.flatten(F.transform("_cuts", lambda c: F.slice(parts, (c["low"] + 1).cast("int"), (c["high"] - c["low"]).cast("int")))), ""
     )
-    joined = numbered.join(materialised(laps, "laps"), "_row").withColumn(
-        "text", F.when(words == F.col("_words"), F.col("text")).otherwise(F.btrim(some, F.lit(SPACES)))
-    )
+    taken_text = F.when(words == F.col("_words"), text).otherwise(F.btrim(some, F.lit(SPACES)))
+    joined = numbered.join(materialised(laps, "laps"), "_row").select("_doc", taken_text.alias("_text"))
+    counted = joined.select(F.col("_doc").withField("text", F.col("_text")).alias("_doc"), "_text")
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        n_chars = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        counted = counted.withColumn("_doc", F.col("_doc").withField("n_chars", n_chars))
+    return counted.select("_doc.*")

@@ -249,8 +249,8 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that ``judged`` would keep, with all their columns. Texts are read and written once."""
-    counted = materialised(docs.withColumn("_quality", signals(F.col("text"))), "counted")
-    table = rules("_quality")
-    voted = counted.withColumn("_votes", F.struct(*[r.vote().alias(r.name) for r in table]))
-    model = fit(voted.select("_votes.*"), [r.name for r in table])
-    return voted.where(~base_failed("_quality") & (model.posterior("_votes") >= threshold)).select(*docs.columns)
+    counted = materialised(docs.select(F.struct("*").alias("doc"), signals(F.col("text")).alias("counts")), "counted")
+    table = rules("counts")
+    voted = counted.withColumn("votes", F.struct(*[r.vote().alias(r.name) for r in table]))
+    model = fit(voted.select("votes.*"), [r.name for r in table])
+    return voted.where(~base_failed("counts") & (model.posterior("votes") >= threshold)).select("doc.*")

@@ -254,11 +254,13 @@ def one_of_each(docs: DataFrame, words: int = 3, bits: int = 2, limit: int = NOD
     are told apart by a number of their own that is written with them.
     """
     numbered = materialised(
-        docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_fp", fingerprint_of(F.col("text"), words)),
+        docs.select(
+            F.monotonically_increasing_id().alias("_row"), fingerprint_of(F.col("text"), words).alias("fp"), F.struct("*").alias("_doc")
+        ),
         "numbered",
     )
-    rows = numbered.select("_row", "doc_id", F.col("_fp").alias("fp"))
+    rows = numbered.select("_row", F.col("_doc.doc_id").alias("doc_id"), "fp")
     groups = fingerprint_groups(rows.select(F.col("_row").alias("doc_id"), "fp"), bits, limit)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
     kept = rows.join(groups, "fp").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return numbered.join(materialised(kept, "kept"), "_row", "left_semi").select(*docs.columns)
+    return numbered.join(materialised(kept, "kept"), "_row", "left_semi").select("_doc.*")

@@ -22,7 +22,10 @@ def edges(spark):
     from pyspark.sql import functions as F
 
     rows = spark.createDataFrame(EDGES, SCHEMA)
-    for name in ("size", "shard", "_line", "_one", "_n", "fp", "votes", "counts", "length", "component_id", "place"):
+    for name in (
+        "size", "shard", "_line", "_one", "_n", "fp", "votes", "counts", "length", "component_id", "place", "doc", "_doc", "_text",
+        "_row", "_size", "_quality", "_votes", "_fp", "_language", "_words", "_cuts", "_lap", "key", "found",
+    ):
         rows = rows.withColumn(name, F.lit("clash"))
     return rows
 
