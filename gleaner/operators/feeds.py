@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import dates, fields, text
-from ..functions.expr import blank_to_null, with_computed
+from ..functions import dates, fields, text, xml
+from ..functions.expr import blank_to_null, let, with_computed
 from ..params import MAX_PER_SOURCE, SHORT_ENTRY_CHARS
+from .pages import as_landed
 from .skew import first_per_group, join_dimension
 
 # Entries are cut out of the feed text first, so one broken entry, or a feed cut
 # off in the middle, does not lose the others.
-_ENTRY = r"(?s)<(item|entry)\b[^>]*>.*?</\1\s*>"
+_ENTRY = r"(?s)<((?:\w+:)?(?:item|entry))(?=[\s>])[^>]*>.*?</\1\s*>"
+_ENTRY_TAG = r"<(?:\w+:)?(?:item|entry)(?=[\s>])"
 _ENTRY_SCHEMA = """
 struct<
   title: struct<_VALUE: string, _type: string>,
   link: array<struct<_VALUE: string, _href: string, _rel: string>>,
+  guid: struct<_VALUE: string, _isPermaLink: string>,
   `content:encoded`: array<struct<_VALUE: string, _type: string>>,
   content: array<struct<_VALUE: string, _type: string>>,
   summary: struct<_VALUE: string, _type: string>,
@@ -35,9 +38,13 @@ def _entry_link(e: Column) -> Column:
     main = F.filter(
         e["link"], lambda x: (x["_href"] != "") & (x["_rel"].isNull() | (x["_rel"] == "alternate"))
     )
+    # an id is the address of its entry unless it says otherwise
+    guid = text.strip(e["guid"]["_VALUE"])
+    permanent = (F.coalesce(F.lower(e["guid"]["_isPermaLink"]), F.lit("true")) != "false") & guid.rlike("^https?://")
     return F.coalesce(
         text.strip(F.try_element_at(texts, F.lit(1))["_VALUE"]),
         F.try_element_at(main, F.lit(1))["_href"],
+        F.when(permanent, guid),
     )
 
 
@@ -69,17 +76,43 @@ def parse_feeds(feeds: DataFrame, max_entries: int | None = None) -> DataFrame:
     """Entries of RSS and Atom documents in feed order, ``pos`` from 0.
 
     With ``max_entries`` the surplus of each document is not parsed at all: an
-    entry beyond that position cannot be among the first of its source. A broken
-    entry keeps its position and has only nulls.
+    entry beyond that position cannot be among the first of its source.
+
+    Character data sections become text before entries are cut, so none ends
+    inside of one. Entries are then mended: names of HTML entities, ampersands that
+    stand alone, markup inside titles and contents, namespace prefixes. ``status`` is
+    ``ok``, ``mended``, or ``broken`` for an entry that no mending makes readable; it
+    keeps its position and has only nulls. See ``feed_status`` for the counts.
     """
-    found = F.regexp_extract_all("xml", F.lit(_ENTRY), F.lit(0))
+    found = F.regexp_extract_all(xml.plain_sections(F.col("xml")), F.lit(_ENTRY), F.lit(0))
     pieces = found if max_entries is None else F.slice(found, 1, max_entries)
     cut = feeds.select("source_id", "fetched_at", F.posexplode(pieces).alias("pos", "piece"))
-    parsed = with_computed(cut, e=F.from_xml("piece", _ENTRY_SCHEMA)).drop("piece")
+    mended = let(xml.unprefixed(F.col("piece")), lambda p: let(xml.known_references(p), xml.carried_markup))
+    known = with_computed(cut, mended=mended)
+    parsed = with_computed(known, e=F.from_xml("mended", _ENTRY_SCHEMA))
+    empty = F.col("e").isNull() | (F.to_json("e") == "{}")
+    status = F.when(empty, "broken").when(F.col("mended") != F.col("piece"), "mended").otherwise("ok")
     # one object per entry: filters on its fields must not repeat the parsing
-    return with_computed(parsed, entry=_entry_fields(F.col("e"))).select(
-        "source_id", "fetched_at", "pos", "entry.*"
+    return with_computed(parsed.withColumn("status", status).drop("mended", "piece"), entry=_entry_fields(F.col("e"))).select(
+        "source_id", "fetched_at", "pos", "entry.*", "status"
+    )
+
+
+def feed_status(feeds: DataFrame, entries: DataFrame) -> DataFrame:
+    """(source_id, status, n): what became of the landed feeds and their ``parse_feeds`` entries.
+
+    Entries are ok, mended or broken; ``cut_off`` counts entries that begin and do
+    not end, ``no_entries`` feeds without any.
+    """
+    plain = xml.plain_sections(F.col("xml"))
+    begun = F.size(F.regexp_extract_all(plain, F.lit(_ENTRY_TAG), F.lit(0)))
+    whole = F.size(F.regexp_extract_all(plain, F.lit(_ENTRY), F.lit(0)))
+    counted = with_computed(feeds.select("source_id", "xml"), begun=F.coalesce(begun, F.lit(0)), whole=F.coalesce(whole, F.lit(0)))
+    lost = counted.groupBy("source_id").agg(
+        F.sum(F.greatest(F.lit(0), F.col("begun") - F.col("whole"))).alias("cut_off"), F.count_if(F.col("begun") == 0).alias("no_entries")
     )
+    tall = lost.unpivot(["source_id"], ["cut_off", "no_entries"], "status", "n").where("n > 0")
+    return entries.groupBy("source_id", "status").agg(F.count("*").alias("n")).unionByName(tall)
 
 
 def cap_entries(entries: DataFrame, n: int = MAX_PER_SOURCE) -> DataFrame:
@@ -114,27 +147,24 @@ def entry_fields(entries: DataFrame) -> DataFrame:
     )
 
 
-def one_page_per_url(pages: DataFrame) -> DataFrame:
-    """First landed page of each URL."""
-    return first_per_group(pages, ["url"], [F.col("page_id")], 1)
-
-
 def enrich_short(
-    entries: DataFrame, pages: DataFrame, min_chars: int = SHORT_ENTRY_CHARS
+    entries: DataFrame, pages: DataFrame, min_chars: int = SHORT_ENTRY_CHARS, as_of: str | None = None
 ) -> DataFrame:
     """Replace the text of short entries by the text of their landed page.
 
     Used only when the page text has more than ``min_chars`` characters and is
     longer than the entry. Long entries stay out of the join; text is extracted
     once per page, and only from pages that some short entry asks for. Those
-    URLs are broadcast when their size allows, so pages are not shuffled.
+    URLs are broadcast when their size allows, so pages are not shuffled. Of
+    several versions of a page the newest one at ``as_of`` counts.
     """
     size = F.length("content_text")
     short = entries.where(size < min_chars)
     long = entries.where(F.coalesce(size >= min_chars, F.lit(True)))
     wanted = short.where(F.col("url") != "").select("url").distinct()
-    asked = join_dimension(pages.select("page_id", "url", "html"), wanted, "url", "left_semi", skewed=False)
-    texts = one_page_per_url(asked).select("url", text.main_text(F.col("html")).alias("_page"))
+    columns = [c for c in ("page_id", "url", "html", "landed_at") if c in pages.columns]
+    asked = join_dimension(pages.select(*columns), wanted, "url", "left_semi", skewed=False)
+    texts = as_landed(asked, ["url"], as_of).select("url", text.main_text(F.col("html")).alias("_page"))
     matched = short.join(texts, "url", "left")
     better = (F.length("_page") > min_chars) & (F.length("_page") > size)
     swapped = matched.withColumn(

@@ -52,6 +52,31 @@ def cap_pages(candidates: DataFrame, n: int = MAX_PER_SOURCE, order: str = "plac
     return first_per_group(candidates, ["source"], [F.col(order)], n)
 
 
+def landed_by(rows: DataFrame, as_of: str | None) -> DataFrame:
+    """Rows that had landed at an instant; rows without a ``landed_at`` always had."""
+    if "landed_at" not in rows.columns or as_of is None:
+        return rows
+    return rows.where(F.col("landed_at").isNull() | (F.col("landed_at") <= F.lit(as_of).cast("timestamp")))
+
+
+def as_landed(rows: DataFrame, keys: list[str], as_of: str | None = None) -> DataFrame:
+    """The version of each key that was the newest at ``as_of``, so that a repeated old run reads what it read then.
+
+    Tables without ``landed_at`` hold one version of a page; of repeated rows the smallest page_id stays.
+    """
+    if "landed_at" not in rows.columns:
+        return first_per_group(rows, keys, [F.col("page_id")], 1)
+    return first_per_group(landed_by(rows, as_of), keys, [F.desc_nulls_last("landed_at"), F.desc("page_id")], 1)
+
+
+def newest_listings_first(listings: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Listings that had landed, with a ``page_id`` that puts the links of later ones first."""
+    if "landed_at" not in listings.columns:
+        return listings
+    age = F.coalesce(-F.unix_micros("landed_at"), F.lit(0))
+    return landed_by(listings, as_of).withColumn("page_id", age).drop("landed_at")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """Add content_text, title and published_date; the html column is dropped."""
     html, url = F.col("html"), F.col("url")

@@ -8,7 +8,7 @@ from ..functions import text, urls
 from ..functions.expr import is_blank
 from ..operators import articles, catalog as catalogs, feeds as feed_ops, filters, pages as page_ops
 from ..operators.registry import unseen
-from ..operators.skew import first_per_group, join_dimension
+from ..operators.skew import join_dimension
 from ..params import MIN_PAGE_CHARS, RunParams
 from ..session import materialised
 
@@ -36,7 +36,7 @@ def feed_run(
     written = feed_ops.feed_text(sourced)
     if pages is not None:
         # at most max_per_source entries per source are left: several branches read them
-        written = feed_ops.enrich_short(materialised(written, "entries"), pages)
+        written = feed_ops.enrich_short(materialised(written, "entries"), pages, as_of=params.as_of)
     complete = articles.with_required_fields(feed_ops.entry_fields(written))
     built = articles.project_articles(complete, params.as_of, keep=("fetched_at", "pos"))
     return filters.with_reason(built, params.as_of, params.filters)
@@ -52,23 +52,39 @@ def page_run(
     """Articles of a page run with the reason each rejected one failed.
 
     Seen URLs leave before the cap. ``listings``: source_id, page_id, html;
-    ``pages``: page_id, url, html. At most ``max_per_source`` URLs per source
-    meet the page table, so that side is broadcast when its size allows and the
-    pages are not shuffled.
+    ``pages``: page_id, url, html; both may have ``landed_at``, and then later listings
+    come first and the newest version of a page at ``as_of`` is read.
     """
+    found = discovered(listings, catalog, registry, params)
+    chosen = page_ops.cap_pages(found, params.max_per_source).select("source", "url")
+    return judged_pages(chosen, pages, catalog, params)
+
+
+def _page_sources(catalog: DataFrame) -> DataFrame:
     # an id that also has a feed is a feed source
-    sources = catalogs.prefer_feeds(catalogs.enabled_sources(catalog)).where("method = 'html'")
-    sourced = catalogs.attach_source(
-        listings, sources.select("source_id", "base_url", "name", "method", "default_tags")
-    )
+    return catalogs.prefer_feeds(catalogs.enabled_sources(catalog)).where("method = 'html'")
+
+
+def discovered(listings: DataFrame, catalog: DataFrame, registry: DataFrame | None, params: RunParams) -> DataFrame:
+    """URLs that listings name and the registry lacks: source, url, place."""
+    known = _page_sources(catalog).select("source_id", "base_url", "name", "method", "default_tags")
+    sourced = catalogs.attach_source(page_ops.newest_listings_first(listings, params.as_of), known)
     listed = sourced.select(F.col("source_id").alias("source"), "base_url", "page_id", "html")
     found = page_ops.discover(listed, params.filters.exclude_patterns)
     if registry is not None and not params.force_rescrape:
         found = unseen(found, registry, keep_blank=False)
-    chosen = page_ops.cap_pages(found, params.max_per_source).select("source", "url")
+    return found
+
 
-    landed = join_dimension(pages.select("page_id", "url", "html"), chosen, "url", skewed=False)
-    single = first_per_group(landed, ["source", "url"], [F.col("page_id")], 1)
+def judged_pages(chosen: DataFrame, pages: DataFrame, catalog: DataFrame, params: RunParams) -> DataFrame:
+    """Articles of the ``chosen`` URLs (source, url) whose page has landed, with the reason each rejected one failed.
+
+    The chosen side is broadcast when its size allows, and the pages are not shuffled.
+    """
+    sources = _page_sources(catalog)
+    columns = [c for c in ("page_id", "url", "html", "landed_at") if c in pages.columns]
+    landed = join_dimension(page_ops.landed_by(pages.select(*columns), params.as_of), chosen, "url", skewed=False)
+    single = page_ops.as_landed(landed, ["source", "url"], params.as_of)
     authored = single.withColumn("author", text.page_author(F.col("html")))
     extracted = page_ops.extract_pages(authored)
     named = catalogs.attach_source(

@@ -35,6 +35,10 @@ FEEDS_RAW = "source_id STRING, fetched_at TIMESTAMP, xml STRING"
 
 PAGES = "page_id BIGINT, url STRING, html STRING"
 
+PAGES_LANDED = "page_id BIGINT, url STRING, html STRING, landed_at TIMESTAMP"
+
+LISTINGS = "source_id STRING, page_id BIGINT, html STRING, landed_at TIMESTAMP"
+
 REGISTRY = "source STRING, url STRING"
 
 MANIFEST = """
@@ -45,3 +49,11 @@ MANIFEST = """
 MANIFEST_COLUMNS = ("source", "id", "url", "title", "published_date", "scraped_at")
 
 DOCUMENT = "id STRING, source STRING, filename STRING, body STRING, metadata MAP<STRING,STRING>"
+
+SNAPSHOT = "source STRING, id STRING, content_html STRING"
+
+DELIVERY = """
+    source STRING, article_id STRING, url STRING, filename STRING, document_id STRING, error STRING, sent_seq BIGINT
+"""
+
+RUN_COUNT = "source STRING, reason STRING, n BIGINT"

@@ -1,16 +1,21 @@
 """Whole runs, commits and streams."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import filters
+from gleaner.operators import filters, metrics
+from gleaner.operators.documents import delivery_summary
 from gleaner.params import FilterParams, RunParams
-from gleaner.plans.commit import commit_run
+from gleaner.plans.commit import commit_run, deliver_pending, judged_registry, run_log
 from gleaner.plans.runs import feed_run, listing_targets, page_run
-from gleaner.sources import tables
+from gleaner.operators.feeds import enrich_short
+from gleaner.schema import ARTICLE_COLUMNS, LISTINGS, PAGES_LANDED
+from gleaner.sources import log, tables
 from gleaner.sources.catalog import catalog_frame
+from gleaner.sources.log import Run, draw_number, find as log_of, vacuum
 from gleaner.streaming import ingest
 
 from .conftest import plan_of
@@ -102,12 +107,128 @@ def test_delivery_hook(spark, known, tmp_path):
     path, out = str(tmp_path / "store"), tmp_path / "sent"
     out.mkdir()
 
-    def send(rows):
-        for r in rows:
-            (out / r["filename"]).write_text(r["body"])
+    def send(row):
+        (out / row["filename"]).write_text(row["body"])
+        return f"doc {row['filename']}"
 
     commit_run(feed_run(feed(spark, *ITEMS), known, None, PARAMS), path, 1, PARAMS, deliver=send)
     assert [p.name.startswith("f_2025-02-26_") for p in out.iterdir()] == [True]
+    sent = tables.read_deliveries(spark, path).first()
+    assert sent["document_id"] == f"doc {sent['filename']}" and sent["url"] == "https://f/1" and sent["error"] is None
+
+
+def test_a_retry_sends_only_what_failed(spark, known, tmp_path):
+    path, out = str(tmp_path / "store"), tmp_path / "sent"
+    out.mkdir()
+    more = [item(f"https://f/x{n}", f"Title {n}", "llm agents and more") for n in range(6)]
+
+    def fails(row):
+        if row["metadata"]["url"][-1] in "135":
+            raise TimeoutError("no answer")
+        return works(row)
+
+    def works(row):
+        with open(out / row["filename"], "a") as file:
+            file.write("x")
+        return "d" + row["id"]
+
+    judged = feed_run(feed(spark, *more), known, None, PARAMS)
+    commit_run(judged, path, "a", PARAMS, deliver=fails)
+    log = tables.read_deliveries(spark, path)
+    assert sorted((r["url"][-1], r["error"]) for r in log.where("document_id IS NULL").collect()) == [
+        (n, "TimeoutError: no answer") for n in "135"
+    ]
+    assert delivery_summary(log).first().asDict() == {"total": 6, "successful": 3, "failed": 3, "error": None}
+    run = deliver_pending(spark, path, works)
+    assert run_log(spark, path, "a", run).where("kind = 'uploaded'").count() == 3
+    assert delivery_summary(tables.read_deliveries(spark, path)).first()["successful"] == 6
+    deliver_pending(spark, path, works)
+    assert [p.read_text() for p in out.iterdir()] == ["x"] * 6
+    # a new version of a document is due again
+    changed = feed_run(feed(spark, item("https://f/x0", "Title 0", "llm agents and much more")), known, None, PARAMS)
+    commit_run(changed, path, "b", PARAMS, deliver=works)
+    assert sorted(p.read_text() for p in out.iterdir()) == ["x"] * 5 + ["xx"]
+
+
+def test_report_of_a_run(spark, known, tmp_path):
+    path = str(tmp_path / "store")
+
+    def send(row):
+        raise ValueError("closed")
+
+    commit_run(feed_run(feed(spark, *ITEMS), known, None, PARAMS), path, "r", PARAMS, sources=["f", "idle"])
+    sent = deliver_pending(spark, path, send)
+    log = run_log(spark, path, "r", sent)
+    counted = {r["source"]: r.asDict() for r in metrics.source_counters(log).where("source IS NOT NULL").collect()}
+    assert counted["f"] == {"source": "f", "scraped": 2, "uploaded": 0, "skipped": 0, "errors": 1}
+    assert counted["idle"] == {"source": "idle", "scraped": 0, "uploaded": 0, "skipped": 1, "errors": 0}
+    totals = metrics.run_totals(log).first()
+    assert totals["duration_seconds"] > 0 and (totals["total_scraped"], totals["total_skipped"], totals["total_errors"]) == (2, 1, 1)
+    assert [r["error"] for r in metrics.first_errors(log).collect()] == ["ValueError: closed"]
+    info = log_of(spark, path, "r").info
+    assert info["accepted"] == 2 and info["judged"] == 5 and info["start"] < info["end"]
+    with pytest.raises(KeyError):
+        run_log(spark, path, "unknown")
+
+
+def test_two_writers_get_their_own_numbers(spark, known, tmp_path):
+    path = str(tmp_path / "store")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: draw_number(spark, path), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+    a, b = Run(spark, path), Run(spark, path)
+    rows = filters.accepted(feed_run(feed(spark, *ITEMS), known, None, PARAMS)).select(*ARTICLE_COLUMNS)
+    a.write("articles", rows, "source")
+    b.write("articles", rows.withColumn("title", F.lit("from b")), "source")
+    assert tables.read_articles(spark, path).isEmpty()
+    b.commit()
+    assert [r["title"] for r in tables.read_articles(spark, path).collect()] == ["from b"]
+    a.commit()
+    assert tables.read_article_versions(spark, path).count() == 4
+    assert [r["title"] for r in tables.read_articles(spark, path).collect()] == ["from b"]
+
+
+def test_attempts_at_one_run_become_visible_once(spark, known, tmp_path):
+    path = str(tmp_path / "store")
+    wide = known.unionByName(known.withColumn("source_id", F.lit("g")))
+    both = feed(spark, *ITEMS).unionByName(feed(spark, *ITEMS).withColumn("source_id", F.lit("g")))
+    lost = Run(spark, path, "daily")  # writes two sources and is lost before its commit
+    rows = filters.accepted(feed_run(both, wide, None, PARAMS)).select(*ARTICLE_COLUMNS)
+    lost.write("articles", rows, "source")
+    commit_run(feed_run(feed(spark, *ITEMS), known, None, PARAMS), path, "daily", PARAMS)
+    assert {r["source"] for r in tables.read_articles(spark, path).collect()} == {"f"}
+    assert lost.commit().number != lost.number
+    assert {r["source"] for r in tables.read_articles(spark, path).collect()} == {"f"}
+    assert vacuum(spark, path) == [f"articles/run_seq={lost.number}"]
+    assert tables.read_articles(spark, path).count() == 1
+    commit_run(feed_run(both, wide, None, PARAMS), path, "other", PARAMS)
+    assert judged_registry(spark, path, "daily").isEmpty() and judged_registry(spark, path, "other").count() == 1
+
+
+def test_snapshots_of_the_log_say_what_the_commits_say(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log, "SNAPSHOT_EVERY", 3)
+    path = str(tmp_path / "store")
+    for n in range(11):
+        Run(spark, path, f"k{n}").commit(n=n)
+        assert [(c.key, c.info["n"]) for c in log.commits(spark, path)] == [(f"k{m}", m) for m in range(n + 1)]
+    assert list((tmp_path / "store/_log/snapshots").iterdir())
+
+
+def test_a_new_checkpoint_loses_nothing(spark, known, tmp_path):
+    path = str(tmp_path / "store")
+    for n in (1, 2):
+        landing = str(tmp_path / f"landing{n}")
+        feed(spark, item(f"https://f/{n}", f"Title {n}", "llm agents and more")).write.parquet(landing)
+        ingest.start_feed_ingest(spark, landing, known, path, str(tmp_path / f"check{n}"), PARAMS).awaitTermination()
+    assert sorted(r["url"] for r in tables.read_registry(spark, path).collect()) == ["https://f/1", "https://f/2"]
+    assert tables.read_articles(spark, path).count() == tables.read_documents(spark, path).count() == 2
+    # the same landed files under a third checkpoint: all are known, unless the run is forced
+    again = str(tmp_path / "landing1")
+    ingest.start_feed_ingest(spark, again, known, path, str(tmp_path / "check3"), PARAMS).awaitTermination()
+    assert tables.read_article_versions(spark, path).count() == 2
+    forced = replace(PARAMS, force_rescrape=True)
+    ingest.start_feed_ingest(spark, again, known, path, str(tmp_path / "check4"), forced, max_files=1).awaitTermination()
+    assert tables.read_article_versions(spark, path).count() == 3 and tables.read_articles(spark, path).count() == 2
 
 
 def test_short_entries_take_their_page(spark, known):
@@ -175,8 +296,9 @@ def test_stream_is_incremental_and_repeatable(spark, known, tmp_path):
     batch = filters.accepted(feed_run(feed(spark, *ITEMS), known, None, PARAMS))
     assert {r["id"] for r in batch.collect()} < {r["id"] for r in tables.read_articles(spark, path).collect()}
     # a batch that is repeated does not see what it registered itself
-    assert tables.read_registry_before(spark, path, 0).isEmpty()
-    assert tables.read_registry_before(spark, path, 1).count() == 1
+    first, second = log.commits(spark, path)
+    assert judged_registry(spark, path, first.key).isEmpty()
+    assert tables.read_registry_before(spark, path, second.number).count() == judged_registry(spark, path, second.key).count() == 1
 
 
 def test_stream_dedup_remembers_across_runs(spark, tmp_path):
@@ -197,3 +319,59 @@ def test_stream_dedup_remembers_across_runs(spark, tmp_path):
     longer = [("s", "u", "t", "llm a b", 3, None, None), ("s", "v", "t", "llm a", 2, None, None)]
     spark.createDataFrame(longer, schema).write.mode("append").parquet(landing)
     assert drain(2) == ["u", "v"]  # v was rejected before, so it may pass now
+
+
+def page(n, words="llm words ", title="t", at=1):
+    return n, f"https://p/b/{n}", f"<title>{title}{n}</title><article>" + words * 30 + "</article>", f"2025-02-0{at} 00:00:00"
+
+
+def landed_frame(spark, rows, schema):
+    frame = spark.createDataFrame(rows, schema.replace("TIMESTAMP", "STRING"))
+    return frame.withColumn("landed_at", F.col("landed_at").cast("timestamp"))
+
+
+def test_the_newest_version_at_the_time_of_the_run_is_read(spark, known):
+    listings = landed_frame(
+        spark,
+        [("p", 0, '<a href="/b/1">x</a><a href="/b/2">x</a>', "2025-02-01 00:00:00"), ("p", 1, '<a href="/b/3">x</a><a href="/b/1">x</a>', "2025-02-03 00:00:00")],
+        LISTINGS,
+    )
+    pages = landed_frame(spark, [page(1, title="old"), page(1, title="new", at=4), page(2), page(3, at=3)], PAGES_LANDED)
+
+    def titles(as_of, n=9):
+        params = replace(PARAMS, as_of=as_of, max_per_source=n)
+        return sorted(r["title"] for r in page_run(listings, pages, known, None, params).collect())
+
+    assert titles("2025-02-02T00:00:00Z") == ["old1", "t2"]
+    assert titles("2025-02-05T00:00:00Z") == ["new1", "t2", "t3"]
+    assert titles("2025-02-05T00:00:00Z", 2) == ["new1", "t3"]  # the later listing's links come first
+    short = spark.createDataFrame([("f", "https://p/b/1", "short")], "source STRING, url STRING, content_text STRING")
+    for as_of, title in (("2025-02-02", "old"), ("2025-02-05", "new")):
+        texts = pages.withColumn("html", F.concat(F.lit("<article>"), F.repeat(F.regexp_extract("html", "<title>([a-z]+)", 1), 90), F.lit("</article>")))
+        assert enrich_short(short, texts, as_of=as_of).first()["content_text"] == title * 90
+
+
+def test_pages_and_listings_may_land_in_any_order(spark, known, tmp_path):
+    listings, pages, path, check = (str(tmp_path / n) for n in ("listings", "pages", "store", "check"))
+
+    def land(rows, schema, folder):
+        landed_frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+    def drain(checkpoint=check):
+        ingest.start_page_ingest(spark, listings, pages, known, path, checkpoint, PARAMS).awaitTermination()
+        return sorted(r["title"] for r in tables.read_articles(spark, path).collect())
+
+    land([("p", 0, '<a href="/b/1">x</a><a href="/b/2">x</a><a href="/b/4">x</a>', None)], LISTINGS, listings)
+    land([page(9), page(4, words="short ")], PAGES_LANDED, pages)
+    assert drain() == []
+    land([page(3)], PAGES_LANDED, pages)
+    assert drain() == []
+    land([page(1)], PAGES_LANDED, pages)
+    assert drain() == ["t1"]  # listed in the first batch, landed in the third
+    land([("p", 1, '<a href="/b/1">x</a><a href="/b/3">x</a>', None)], LISTINGS, listings)
+    assert drain() == ["t1", "t3"]  # landed before it was listed
+    land([page(4, words="llm and more ", title="later", at=2), page(1, title="again", at=2)], PAGES_LANDED, pages)
+    assert drain() == ["later4", "t1", "t3"]  # rejected before, and a known page is left alone
+    assert tables.read_article_versions(spark, path).count() == 3
+    assert drain() == drain(str(tmp_path / "check2")) == ["later4", "t1", "t3"]
+    assert tables.read_article_versions(spark, path).count() == 3

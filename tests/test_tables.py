@@ -92,6 +92,40 @@ def test_malformed_feeds_are_still_used(entries):
     assert [t["term"] for t in rows["t", 0]["tags"]] == ["K"]
 
 
+LENIENT = '''<?xml version="1.0"?><rss xmlns:atom="a"><channel><title>f</title><!-- <item><title>comment</title></item> -->
+<atom:link rel="self" href="https://self"/>
+<item><title>R&D and a&nbsp;b &copy; &unknown; &amp; &#233; &#0; end</title><link>https://x/1?a=1&b=2</link><description>fish & chips</description></item>
+<item><title>Guid</title><guid>https://x/2</guid><description><![CDATA[<pre></item><item></pre> a &amp;amp; b]]></description></item>
+<item><title>Not an address</title><guid isPermaLink="false">https://x/3</guid><description/></item>
+<item><title>Markup</title><link>https://x/4</link><description><p>one &lt;b&gt;</p><p>two<br/>three</p></description></item>
+<item><title>A <b>bold</b> head</title><link>https://x/5</link><content:encoded>&lt;p&gt;plain&lt;/p&gt;</content:encoded></item>
+</channel></rss>'''
+PREFIXED = '''<atom:feed xmlns:atom="http://www.w3.org/2005/Atom"><atom:entry><atom:title>P</atom:title><atom:link href="https://x/p"/>
+<atom:updated>2025-01-01T00:00:00Z</atom:updated><atom:content type="xhtml"><div xmlns="x"><p>a &amp; b</p></div></atom:content></atom:entry></atom:feed>'''
+
+
+def test_lenient_feeds_are_mended(spark):
+    rows = [("r", LENIENT), ("p", PREFIXED), ("b", RSS), ("n", "<rss/>"), ("x", None)]
+    raw = spark.createDataFrame(rows, "source_id STRING, xml STRING").withColumn("fetched_at", F.lit("2025-01-01").cast("timestamp"))
+    entries = feeds.parse_feeds(raw)
+    found = {(r["source_id"], r["pos"]): r for r in feeds.feed_text(entries).collect()}
+    of = [found["r", k] for k in range(5)]
+    assert of[0]["title"] == "R&D and a\xa0b © &unknown; & é  end" and of[0]["link"] == "https://x/1?a=1&b=2"
+    assert of[0]["content_text"] == "fish & chips"
+    assert of[1]["link"] == "https://x/2" and of[1]["content_text"] == "a &amp; b"
+    assert of[2]["link"] is None and of[2]["title"] == "Not an address"
+    assert of[3]["content_text"] == "one <b>\ntwo\nthree"
+    assert of[4]["title"] == "A <b>bold</b> head" and of[4]["content_text"] == "plain"
+    assert ("r", 5) not in found
+    one = found["p", 0]
+    assert (one["title"], one["link"], one["updated"], one["content_text"]) == ("P", "https://x/p", "2025-01-01T00:00:00Z", "a & b")
+    counts = {(r["source_id"], r["status"]): r["n"] for r in feeds.feed_status(raw, entries).collect()}
+    assert counts == {
+        ("r", "mended"): 3, ("r", "ok"): 2, ("p", "mended"): 1, ("b", "ok"): 2, ("b", "broken"): 1, ("b", "cut_off"): 1,
+        ("n", "no_entries"): 1, ("x", "no_entries"): 1,
+    }
+
+
 def test_feed_text(entries):
     rows = {(r["source_id"], r["pos"]): r["content_text"] for r in feeds.feed_text(entries).collect()}
     assert rows["r", 0] == "full" and rows["t", 0] == "s"
@@ -213,15 +247,35 @@ def test_store(spark, tmp_path):
     assert tables.read_articles(spark, path, "localhost:8080").count() == 0
 
 
-def test_runs_over_other_sources_may_share_a_number(spark, tmp_path):
-    path = str(tmp_path)
+def test_runs_add_up_and_a_repeated_key_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "store")
     rows = [{"id": k, "source": s, "url": f"http://{s}/{k}"} for k, s in (("1", "feed"), ("2", "page:8080"))]
     for row in rows:
         save = spark.createDataFrame([(row["source"], row["url"])], "source string, url string")
-        tables.save_registry(save, path, 1)
+        tables.save_registry(save, path, row["id"])
     assert sorted(r["url"] for r in tables.read_registry(spark, path).collect()) == [r["url"] for r in rows]
-    tables.save_registry(spark.createDataFrame([("feed", "http://feed/1")], "source string, url string"), path, 1)
+    tables.save_registry(spark.createDataFrame([("feed", "http://feed/3")], "source string, url string"), path, "1")
     assert tables.read_registry(spark, path).count() == 2
+    tables.save_registry(spark.createDataFrame([("feed", "http://feed/3")], "source string, url string"), path)
+    assert tables.read_registry(spark, path).count() == 3
+
+
+def test_reading_newest_rows_shuffles_no_text(spark, tmp_path):
+    path = str(tmp_path / "store")
+    first, second = _articles(spark, ("1", "s", "a"), ("2", "t", "b")), _articles(spark, ("1", "s", "new"), ("1", "s", "new"))
+    tables.save_articles(first, path)
+    tables.save_articles(second, path)
+    rows = tables.read_articles(spark, path)
+    assert sorted(r["title"] for r in rows.collect()) == ["b", "new"]
+    plan = plan_of(rows)
+    assert "BroadcastHashJoin" in plan and "Window" not in plan and "Exchange hashpartitioning" not in plan
+    found = tables.load_article(spark, path, "s", "1").collect()
+    assert [r["title"] for r in found] == ["new"] and tables.load_article(spark, path, "s", "9").isEmpty()
+    snapshots = spark.createDataFrame([("s", "1", "<p>1"), ("s", "2", "")], "source STRING, id STRING, content_html STRING")
+    assert tables.read_html_snapshots(spark, path).isEmpty()
+    tables.save_html_snapshots(snapshots, path)
+    tables.save_html_snapshots(snapshots.withColumn("content_html", F.lit("<p>2")), path)
+    assert sorted(map(tuple, tables.read_html_snapshots(spark, path).select("id", "content_html").collect())) == [("1", "<p>2"), ("2", "<p>2")]
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():

@@ -321,15 +321,13 @@ def listed_sources(spark, sf_dir):
 
 @query(
     "load_article",
-    f"""WITH {i.ARTICLES} SELECT id, title, content_text FROM articles
+    f"""WITH {VERSIONS} SELECT id, title, content_text FROM newest
     WHERE source = 'src1' AND id = 'src1_' || substr(md5('https://src1.example.com/1'), 1, 12)""",
 )
 def load_article(spark, sf_dir):
     path = _stored(spark, sf_dir)
     wanted = fields.article_id(F.lit("src1"), F.lit("https://src1.example.com/1"))
-    return store.load_article(tables.read_article_versions(spark, path), "src1", wanted).where(
-        "run_seq = 1"
-    ).select("id", "title", "content_text")
+    return tables.load_article(spark, path, "src1", wanted).select("id", "title", "content_text")
 
 
 @query(
@@ -388,7 +386,7 @@ def html_snapshots(spark, sf_dir):
         urls.authority(F.col("url")).alias("source"), F.col("url").alias("id"), with_html.alias("content_html")
     )
     tables.save_html_snapshots(rows, path, 1)
-    return spark.read.parquet(f"{path}/html_snapshots").select("source", "id", "content_html")
+    return tables.read_html_snapshots(spark, path).select("source", "id", "content_html")
 
 
 # --- documents -------------------------------------------------------------------

@@ -225,23 +225,35 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.concat(document_url(), F.lit("/"))
 
     def rss(line, i):
+        # The same entry as strict XML, with bare markup, with a lone ampersand and an HTML name, and with its end tag in a section.
         body = F.concat(F.lit("<p>"), _escape(line), F.lit("</p>"))
+        markup = F.when(i % 4 == 1, body).when(
+            i % 4 == 3, F.concat(F.lit("<![CDATA[<p>"), _escape(line), F.lit("</p><!-- </item> -->]]>"))
+        ).otherwise(_escape(body))
+        link = F.when(i % 3 == 1, F.concat(F.lit('<guid isPermaLink="true">'), base, i.cast("string"), F.lit("</guid>"))).otherwise(
+            F.concat(F.lit("<link>"), base, i.cast("string"), F.lit("</link>"))
+        )
+        lone = F.when(i % 4 == 2, F.lit("<comments>https://c/?a=1&b=2&nbsp;R&D</comments>")).otherwise(F.lit(""))
         return F.concat(
-            F.lit("<item><title> "), _escape(F.substring(line, 1, 60)), F.lit(" </title><link>"),
-            base, i.cast("string"), F.lit("</link><category>EN </category><category>Line</category>"),
+            F.lit("<item><title> "), _escape(F.substring(line, 1, 60)), F.when(i % 4 == 2, F.lit("&nbsp;")).otherwise(F.lit(" ")),
+            F.lit("</title>"), link, lone, F.lit("<category>EN </category><category>Line</category>"),
             F.lit("<dc:creator>Feed Writer</dc:creator><pubDate>Mon, "), F.col("rss_day"),
-            F.lit(" 10:00:00 GMT</pubDate><description>"), _escape(body), F.lit("</description></item>"),
+            F.lit(" 10:00:00 GMT</pubDate><description>"), markup, F.lit("</description></item>"),
         )
 
     def atom(line, i):
-        return F.concat(
+        xhtml = F.concat(F.lit('<content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">'), _escape(line), F.lit("</div></content></entry>"))
+        whole = F.concat(
             F.lit('<entry><title type="text">'), _escape(F.substring(line, 1, 60)),
             F.lit('</title><link rel="self" href="https://feeds.example.com/self"/><link rel="alternate" href="'),
             base, i.cast("string"), F.lit('"/><author><name>A</name></author><author><name>B</name></author>'),
-            F.lit('<category term="Line"/><updated>'), F.col("day").cast("string"),
-            F.lit('T23:30:00-05:00</updated><content type="html"><![CDATA[<div>'), _escape(line),
-            F.lit("</div><!-- end -->]]></content></entry>"),
+            F.lit('<category term="Line"/><updated>'), F.col("day").cast("string"), F.lit("T23:30:00-05:00</updated>"),
+            F.when(i % 3 == 1, xhtml).otherwise(F.concat(
+                F.lit('<content type="html"><![CDATA[<div>'), _escape(line), F.lit("</div><!-- end -->]]></content></entry>"),
+            )),
         )
+        prefixed = F.regexp_replace(F.regexp_replace(whole, "<(?=[a-z])(?!div|p>)", "<atom:"), "</(?=[a-z])(?!div|p>)", "</atom:")
+        return F.when(i % 3 == 2, prefixed).otherwise(whole)
 
     lines = F.split("text", "\n")
     rss_doc = F.concat(

