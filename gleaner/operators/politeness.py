@@ -1,10 +1,12 @@
 """Request spacing per domain and retry plans, over logs.
 
 A schedule depends on all earlier requests of a domain. A window over the domain
-would put a busy one into a single task, so each domain is cut into time
-buckets: windows run inside a bucket, one small row per bucket carries what the
-next buckets need, and the carried values are joined back. Choose the bucket
-width so that one bucket of the busiest domain fits a task.
+would put a busy one into a single task. So requests are sorted by domain and time
+over the cluster and cut into pieces of equal size. A piece turns the time at which
+its domain is free into the time at which it is free again: the later of that time
+plus n delays, and a time of its own. Such a pair of numbers per piece, a max-plus
+map, is all that the next pieces need; pairs are added up over the pieces of a domain,
+and every piece is then finished on its own.
 """
 
 from __future__ import annotations
@@ -13,10 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.fields import retry_delay
 from ..params import DEFAULT_DELAY_SECONDS, FATAL_ERRORS, MAX_RETRIES
+from ..session import materialised
 from .skew import join_dimension
 
-BUCKET_SECONDS = 3600
-
 
 def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
@@ -30,74 +31,61 @@ def with_delay(
     return joined.withColumn("delay", F.coalesce("delay", F.lit(default)))
 
 
-_BUCKET = ["_domain", "_bucket"]
-
+_PIECE = ["_domain", "_piece"]
 
-def _bucketed(requests: DataFrame, seconds: int) -> DataFrame:
-    """Add the time bucket. Keys are never null, so no null filter on one side of
-    the later join keeps both sides from sharing a shuffle."""
-    at = _micros(F.col("ts"))
-    return requests.withColumns(
-        {
-            "_at": at,
-            "_domain": F.coalesce("domain", F.lit("")),
-            "_bucket": F.coalesce(F.floor(at / (seconds * 1_000_000)).cast("long"), F.lit(-1)),
-        }
-    )
 
+def _pieces(requests: DataFrame, tie: str, parts: int | None) -> DataFrame:
+    """Add domain, arrival and piece; written, because two steps read it and must see the same pieces.
 
-def _carry(df: DataFrame, per_bucket: DataFrame) -> DataFrame:
-    """Join bucket rows back; ``df`` is already hashed by domain and bucket."""
-    return df.join(per_bucket, _BUCKET, "left")
+    Keys are never null, so no null filter keeps both sides of the later join from sharing a shuffle.
+    """
+    spark = requests.sparkSession
+    keyed = requests.withColumns(
+        {"_at": _micros(F.col("ts")), "_domain": F.coalesce(F.concat(F.lit("d"), F.col("domain").cast("string")), F.lit(""))}
+    )
+    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = keyed.repartitionByRange(parts, "_domain", "_at", tie)
+    return materialised(ranged.withColumn("_piece", F.spark_partition_id().cast("long")), "requests")
 
 
-def politeness_schedule(
-    requests: DataFrame, tie: str = "request_id", bucket_seconds: int = BUCKET_SECONDS
-) -> DataFrame:
+def politeness_schedule(requests: DataFrame, tie: str = "request_id", parts: int | None = None) -> DataFrame:
     """Start and wait of each request when a domain's requests keep their delay.
 
     start(i) = max(arrival(i), start(i-1) + d) equals
     d*i + max over j <= i of (arrival(j) - d*j), a running maximum.
-    Expects domain, ts, delay (one value per domain) and a tie-break column.
+    Expects domain, ts, delay (one value per domain) and a tie-break column. A
+    piece is about the ``parts``-th part of all requests, by default as many as
+    the session shuffles to; a domain of any size is cut into as many as it fills.
     """
-    step = F.round(F.col("delay") * 1e6).cast("long")
-    inside = Window.partitionBy(*_BUCKET).orderBy("_at", tie)
+    inside = Window.partitionBy(*_PIECE).orderBy("_at", tie)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = _bucketed(requests, bucket_seconds).withColumns({"_step": step, "_i": F.row_number().over(inside) - 1})
+    step = F.round(F.col("delay") * 1e6).cast("long")
+    local = _pieces(requests, tie, parts).withColumns({"_step": step, "_i": F.row_number().over(inside) - 1})
     local = local.withColumn("_slack", F.max(F.col("_at") - F.col("_step") * F.col("_i")).over(running))
 
-    totals = local.groupBy(*_BUCKET).agg(
-        F.count("*").alias("_n"), F.max("_slack").alias("_top"), F.max("_step").alias("_d")
-    )
-    earlier = Window.partitionBy("_domain").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    carried = carried.withColumn(
-        "_best", F.max(F.col("_top") - F.col("_d") * F.col("_offset")).over(earlier)
-    ).select(*_BUCKET, "_offset", "_best")
+    # one row per domain and piece: a domain has at most as many as there are pieces
+    pairs = local.groupBy(*_PIECE).agg(F.count("*").alias("_n"), F.max("_slack").alias("_top"), F.max("_step").alias("_d"))
+    earlier = Window.partitionBy("_domain").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pairs.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    carried = carried.withColumn("_best", F.max(F.col("_top") - F.col("_d") * F.col("_offset")).over(earlier))
 
-    index = F.col("_offset") + F.col("_i")
+    placed = local.join(carried.select(*_PIECE, "_offset", "_best"), _PIECE, "left")
     slack = F.greatest("_best", F.col("_slack") - F.col("_step") * F.col("_offset"))
-    start = F.col("_step") * index + slack
-    placed = _carry(local, carried).withColumn("start_micros", start)
+    placed = placed.withColumn("start_micros", F.col("_step") * (F.col("_offset") + F.col("_i")) + slack)
     wait = (F.col("start_micros") - F.col("_at")) / 1e6
-    return placed.withColumn("wait_seconds", wait).select(
-        *requests.columns, "start_micros", "wait_seconds"
-    )
+    return placed.withColumn("wait_seconds", wait).select(*requests.columns, "start_micros", "wait_seconds")
 
 
-def can_request(
-    requests: DataFrame, tie: str = "request_id", bucket_seconds: int = BUCKET_SECONDS
-) -> DataFrame:
-    """Whether the delay had passed since the domain's previous request."""
-    inside = Window.partitionBy(*_BUCKET).orderBy("_at", tie)
-    local = _bucketed(requests, bucket_seconds)
-    local = local.withColumn("_before", F.lag("_at").over(inside))
-    last = local.groupBy(*_BUCKET).agg(F.max("_at").alias("_last"))
-    chain = Window.partitionBy("_domain").orderBy("_bucket")
-    carried = last.select(*_BUCKET, F.lag("_last").over(chain).alias("_earlier"))
+def can_request(requests: DataFrame, tie: str = "request_id", parts: int | None = None) -> DataFrame:
+    """Whether the delay had passed since the domain's previous request; pieces as in ``politeness_schedule``."""
+    inside = Window.partitionBy(*_PIECE).orderBy("_at", tie)
+    local = _pieces(requests, tie, parts).withColumn("_before", F.lag("_at").over(inside))
+    last = local.groupBy(*_PIECE).agg(F.max("_at").alias("_last"))
+    chain = Window.partitionBy("_domain").orderBy("_piece")
+    carried = last.select(*_PIECE, F.lag("_last").over(chain).alias("_earlier"))
     elapsed = F.col("_at") - F.coalesce("_before", "_earlier")
     allowed = F.coalesce(elapsed >= F.round(F.col("delay") * 1e6), F.lit(True))
-    return _carry(local, carried).select(*requests.columns, allowed.alias("can_request"))
+    return local.join(carried, _PIECE, "left").select(*requests.columns, allowed.alias("can_request"))
 
 
 def retry_plan(failures: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:

@@ -1,22 +1,16 @@
 """Batch search over the article table: lexical, semantic and hybrid ranking.
 
 Scores follow the published BM25 and cosine definitions. Documents carry a
-``length`` in words, so corpus averages read one narrow column.
+``length`` in words, so corpus averages read one narrow column. ``lexical_scores``
+gives every matching pair; ``index``, ``nearest`` and ``hybrid`` give the best of
+each query without scoring the rest.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..params import (
-    LEXICAL_WEIGHT,
-    RERANK_THRESHOLD,
-    RERANK_TOP_K,
-    SEMANTIC_WEIGHT,
-    TOP_K,
-)
+from ..params import RERANK_THRESHOLD, RERANK_TOP_K, TOP_K
 from ..session import materialised
 from .skew import first_per_group, join_dimension
 
@@ -25,14 +19,9 @@ B = 0.75
 TERM = r"[\pL\pN]+"
 DIGITS = 9
 
-# Queries sent to every task when there are no more than this; documents per
-# group when there are.
-QUERY_BLOCK = 1024
-DOC_SHARD = 20_000
-
 
 def terms(text: Column) -> Column:
-    """Lower-case ASCII letter and digit runs."""
+    """Lower-case runs of letters and digits of any script."""
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
@@ -85,158 +74,6 @@ def cosine(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b))), F.lit(0.0))
 
 
-def _unit(rows) -> np.ndarray:
-    matrix = np.vstack([np.asarray(r, dtype=np.float64) for r in rows])
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(norms == 0, 1.0, norms)
-
-
-_SCORED = "query_id bigint, doc_id bigint, score double, low double, high double"
-
-
-def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    order = rows.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-    return order.groupby("query_id", sort=False).head(k)
-
-
-def _best_of_batch(docs: pd.DataFrame, ids, matrix: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` documents of a batch for each query, plus the batch's range."""
-    scores = np.round(_unit(docs["vector"]) @ matrix.T, DIGITS)
-    doc_ids = docs["doc_id"].to_numpy()
-    low, high = scores.min(axis=0), scores.max(axis=0)
-    found = []
-    for q, query_id in enumerate(ids):
-        column = scores[:, q]
-        least = np.partition(column, -k)[-k] if len(column) > k else -np.inf
-        able = np.flatnonzero(column >= least)  # ties of the last place included
-        best = able[np.lexsort((doc_ids[able], -column[able]))[:k]]
-        rows = {"query_id": query_id, "doc_id": doc_ids[best], "score": scores[best, q]}
-        found.append(pd.DataFrame({**rows, "low": low[q], "high": high[q]}))
-    return pd.concat(found, ignore_index=True)
-
-
-def _best_of_task(batches, ids, matrix: np.ndarray, k: int):
-    """Running best over a task's batches.
-
-    Only the best of a task can be among the best of all, so k rows per query
-    leave it instead of one per document.
-    """
-    held = None
-    for batch in batches:
-        if batch.empty:
-            continue
-        found = _best_of_batch(batch, ids, matrix, k)
-        if held is not None:
-            found = pd.concat([held, found], ignore_index=True)
-            found["low"] = found.groupby("query_id")["low"].transform("min")
-            found["high"] = found.groupby("query_id")["high"].transform("max")
-        held = _best(found, k)
-    if held is not None:
-        yield held
-
-
-def _scored_batches(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Best documents per query and batch.
-
-    Up to ``QUERY_BLOCK`` queries travel with the task. Beyond that, blocks of
-    queries meet shards of documents in a cogroup, both of bounded size.
-    """
-    vectors = docs.select("doc_id", "vector").where(F.size("vector") > 0)
-    wanted = queries.select("query_id", "vector")
-    held = wanted.limit(QUERY_BLOCK + 1).collect()
-    if len(held) <= QUERY_BLOCK:
-        if not held:
-            return docs.sparkSession.createDataFrame([], _SCORED)
-        ids, matrix = [r["query_id"] for r in held], _unit([r["vector"] for r in held])
-
-        def score(batches):
-            yield from _best_of_task(batches, ids, matrix, k)
-
-        return vectors.mapInPandas(score, _SCORED)
-
-    blocks = -(-wanted.count() // QUERY_BLOCK)
-    shards = -(-vectors.count() // DOC_SHARD)
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-
-    left = vectors.withColumns(
-        {"shard": F.pmod(F.xxhash64("doc_id"), F.lit(shards)), "block": every(blocks)}
-    )
-    right = wanted.withColumns(
-        {"block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)), "shard": every(shards)}
-    )
-
-    def score_block(d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if d.empty or q.empty:
-            return pd.DataFrame(columns=["query_id", "doc_id", "score", "low", "high"])
-        return _best_of_batch(d, q["query_id"].to_numpy(), _unit(q["vector"]), k)
-
-    pairs = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard"))
-    return pairs.applyInPandas(score_block, _SCORED)
-
-
-def semantic_scores(docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Exact ``k`` nearest documents of each query by cosine.
-
-    ``docs``: doc_id, vector. ``queries``: query_id, vector.
-    """
-    batches = _scored_batches(docs, queries, k).select("query_id", "doc_id", "score")
-    return first_per_group(batches, ["query_id"], [F.desc("score"), F.col("doc_id")], k)
-
-
-def _scaled(score: Column, low: Column, high: Column) -> Column:
-    return F.when(high > low, (score - low) / (high - low)).when(score.isNotNull(), F.lit(1.0))
-
-
-def hybrid_scores(
-    docs: DataFrame,
-    queries: DataFrame,
-    k: int = TOP_K,
-    lexical_weight: float = LEXICAL_WEIGHT,
-    semantic_weight: float = SEMANTIC_WEIGHT,
-) -> DataFrame:
-    """Weighted sum of both scores, each scaled to 0..1 per query; missing is 0.
-
-    Exact for the first ``k`` of each query without scoring every pair on the
-    lexical side: a document without a lexical score is ordered by its semantic
-    score alone, so only the ``k`` nearest of those can rank; every document
-    with a lexical score gets its semantic score by a join.
-    ``docs``: doc_id, text, length, vector. ``queries``: query_id, text, vector.
-    """
-    pair = ["query_id", "doc_id"]
-    lexical = materialised(lexical_scores(docs, queries).withColumnRenamed("score", "lex"), "lexical")
-    lex_range = lexical.groupBy("query_id").agg(
-        F.min("lex").alias("lex_low"), F.max("lex").alias("lex_high")
-    )
-    batches = materialised(_scored_batches(docs, queries, k), "semantic")
-    sem_range = batches.groupBy("query_id").agg(
-        F.min("low").alias("sem_low"), F.max("high").alias("sem_high")
-    )
-
-    query_side = queries.select("query_id", F.col("vector").alias("_q"))
-    doc_side = docs.select("doc_id", F.col("vector").alias("_d"))
-    with_vectors = join_dimension(lexical.join(doc_side, "doc_id"), query_side, "query_id", "left")
-    matched = with_vectors.select(*pair, "lex", F.round(cosine(F.col("_d"), F.col("_q")), DIGITS).alias("sem"))
-    nearest = first_per_group(batches, ["query_id"], [F.desc("score"), F.col("doc_id")], k)
-    nearest = nearest.select(
-        *pair, F.lit(None).cast("double").alias("lex"), F.col("score").alias("sem")
-    )
-    merged = matched.unionByName(nearest).groupBy(*pair).agg(
-        F.max("lex").alias("lex"), F.max("sem").alias("sem")
-    )
-
-    ranged = join_dimension(join_dimension(merged, lex_range, "query_id", "left"), sem_range, "query_id", "left")
-    lex = F.coalesce(_scaled(F.col("lex"), F.col("lex_low"), F.col("lex_high")), F.lit(0.0))
-    sem = F.coalesce(_scaled(F.col("sem"), F.col("sem_low"), F.col("sem_high")), F.lit(0.0))
-    return ranged.select(
-        *pair,
-        lex.alias("lexical"),
-        sem.alias("semantic"),
-        (lexical_weight * lex + semantic_weight * sem).alias("score"),
-    )
-
-
 def hybrid_topk(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     """Best ``k`` documents per query with their rank."""
     return first_per_group(scores, ["query_id"], [F.desc("score"), F.col("doc_id")], k, rank="rank")

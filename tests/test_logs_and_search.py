@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import metrics, politeness, retrieval
+from gleaner.operators import hybrid, index, metrics, nearest, politeness, retrieval
 
 LOG = "source STRING, kind STRING, n INT, url STRING, error STRING, ts TIMESTAMP"
 
@@ -53,29 +53,38 @@ def _requests(spark, rows):
     return df.select("request_id", "domain", F.timestamp_micros(F.round(F.col("at") * 1e6).cast("long")).alias("ts"), "delay")
 
 
-@pytest.mark.parametrize("bucket", [1, 7, 3600])
-def test_schedule(spark, bucket):
+@pytest.mark.parametrize("parts", [1, 3, None])
+def test_schedule(spark, parts):
     known = [(1, "a", 0.0, 2.0), (2, "a", 0.5, 2.0), (3, "a", 5.0, 2.0), (4, "a", 5.1, 2.0), (5, "b", 0.1, 2.0)]
-    plan = politeness.politeness_schedule(_requests(spark, known), bucket_seconds=bucket)
+    plan = politeness.politeness_schedule(_requests(spark, known), parts=parts)
     assert {r["request_id"]: r["wait_seconds"] for r in plan.collect()} == {1: 0, 2: 1.5, 3: 0, 4: 1.9, 5: 0}
 
 
-@pytest.mark.parametrize("bucket", [1, 20])
-def test_schedule_of_a_hot_domain(spark, bucket):
+@pytest.mark.parametrize("parts", [1, 9, 60])
+def test_schedule_of_a_hot_domain(spark, parts):
     rng = random.Random(7)
     rows = [(i, "hot" if i % 3 else f"d{i % 4}", round(rng.uniform(0, 300), 3), 2.0 if i % 3 else 3.0) for i in range(400)]
     rows = [(i, d, t, 2.0 if d == "hot" else 3.0) for i, d, t, _ in rows] + [(900 + i, "hot", 50.0, 2.0) for i in range(5)]
-    plan = politeness.politeness_schedule(_requests(spark, rows), bucket_seconds=bucket)
+    plan = politeness.politeness_schedule(_requests(spark, rows), parts=parts)
     assert {r["request_id"]: round(r["wait_seconds"], 6) for r in plan.collect()} == _schedule(rows)
 
     last, expected = {}, {}
     for i, d, t, delay in sorted(rows, key=lambda r: (r[2], r[0])):
         expected[i] = d not in last or round(t - last[d], 6) >= delay
         last[d] = t
-    allowed = politeness.can_request(_requests(spark, rows), bucket_seconds=bucket)
+    allowed = politeness.can_request(_requests(spark, rows), parts=parts)
     assert {r["request_id"]: r["can_request"] for r in allowed.collect()} == expected
 
 
+def test_one_domain_with_all_requests_is_cut_into_equal_pieces(spark):
+    rng = random.Random(1)
+    rows = [(i, "hot", round(rng.uniform(0, 3000), 3), 2.0) for i in range(4000)]
+    pieces = politeness._pieces(_requests(spark, rows).repartition(4), "request_id", 16).groupBy("_domain", "_piece").count().collect()
+    assert len(pieces) == 16 and max(r["count"] for r in pieces) < 2 * 4000 / 16
+    plan = politeness.politeness_schedule(_requests(spark, rows), parts=16)
+    assert {r["request_id"]: round(r["wait_seconds"], 6) for r in plan.collect()} == _schedule(rows)
+
+
 def test_requests_without_a_domain(spark):
     requests = spark.createDataFrame([(1, None, 2.0), (2, None, 2.0), (3, "a", 2.0)], "request_id INT, domain STRING, delay DOUBLE")
     requests = requests.withColumn("ts", F.timestamp_seconds(F.lit(0)))
@@ -151,24 +160,131 @@ def _top(scores, queries, k):
     return out
 
 
-@pytest.mark.parametrize("block, shard", [(4096, 20_000), (2, 15)])
-def test_semantic_in_one_pass_and_in_blocks(corpus, monkeypatch, block, shard):
+@pytest.mark.parametrize("group, block, pivots", [(512, 2 << 20, 512), (2, 16, 4), (1, 16, 1)])
+def test_semantic_by_any_blocks(corpus, monkeypatch, group, block, pivots):
     docs, queries, docs_df, queries_df = corpus
-    monkeypatch.setattr(retrieval, "QUERY_BLOCK", block)
-    monkeypatch.setattr(retrieval, "DOC_SHARD", shard)
-    ranked = retrieval.hybrid_topk(retrieval.semantic_scores(docs_df, queries_df, 7), 7)
+    monkeypatch.setattr(nearest, "QUERY_GROUP", group)
+    monkeypatch.setattr(nearest, "BLOCK_BYTES", block)
+    monkeypatch.setattr(nearest, "MAX_PIVOTS", pivots)
+    ranked = retrieval.hybrid_topk(hybrid.semantic_scores(docs_df, queries_df, 7), 7)
     found = {}
     for r in ranked.orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append(r["doc_id"])
     assert found == _top(_cosines(docs, queries), queries, 7)
 
 
+def test_nearest_reads_only_blocks_within_reach(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 12)) * 4
+    vectors = np.concatenate([c + rng.normal(size=(60, 12)) * 0.3 for c in centres] + [np.zeros((3, 12)), np.repeat(centres[:1], 300, axis=0)])
+    rows = [(int(k), v.tolist()) for k, v in enumerate(vectors)] + [(9000, None), (9001, [])]
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, vector ARRAY<DOUBLE>")
+    nearest.build_vector_index(docs.repartition(4), path, block_bytes=16 * 96)
+    opened = nearest.open_vector_index(spark, path)
+    asked = [(k, (centres[k] + rng.normal(size=12) * 0.1).tolist()) for k in range(12)] + [(50, [0.0] * 12), (51, None), (52, [])]
+    queries = spark.createDataFrame(asked, "query_id BIGINT, vector ARRAY<DOUBLE>")
+    units = nearest.unit_rows([v for _, v in rows[:-2]], 12)
+    for k in (5, 5000):
+        found = {}
+        for r in nearest.nearest(opened, queries, k).orderBy("query_id", F.desc("score"), "doc_id").collect():
+            found.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+        assert found.keys() == {q for q, v in asked if v}
+        for q, v in asked:
+            if v:
+                scores = np.round(units @ nearest.unit_rows([v], 12)[0], 9)
+                order = np.lexsort((np.arange(len(scores)), -scores))[:k]
+                assert [d for d, _ in found[q]] == order.tolist()
+                assert np.allclose([s for _, s in found[q]], scores[order], atol=1e-8)
+    lows = {r["query_id"]: r["low"] for r in nearest.lowest_scores(opened, queries).collect()}
+    assert lows == pytest.approx({q: float((units @ nearest.unit_rows([v], 12)[0]).min()) for q, v in asked if v}, abs=1e-8)
+    monkey, read = nearest._scored, []
+    nearest._scored = lambda index, queries, pairs, k: (read.append(pairs.count()), monkey(index, queries, pairs, k))[1]
+    try:
+        nearest.nearest(opened, queries.where("query_id < 12"), 5).collect()
+    finally:
+        nearest._scored = monkey
+    assert sum(read) < 12 * opened.blocks.count() / 3
+    empty = str(tmp_path / "empty")
+    nearest.build_vector_index(docs.where("false"), empty)
+    assert nearest.nearest(nearest.open_vector_index(spark, empty), queries).isEmpty()
+
+
+@pytest.mark.parametrize("size, first", [(256, 8), (4, 1)])
+def test_lexical_topk_is_the_top_of_all_scores(corpus, monkeypatch, spark, tmp_path, size, first):
+    docs, queries, docs_df, queries_df = corpus
+    monkeypatch.setattr(index, "BLOCK_DOCS", size)
+    path = str(tmp_path / "index")
+    blank = spark.createDataFrame([(500, None, 0, None), (501, "", 0, None)], docs_df.schema)
+    index.build_index(docs_df.unionByName(blank), path)
+    opened = index.open_index(spark, path)
+    expected = _bm25([*docs, (500, "", None), (501, "", None)], queries)
+    for k in (6, 500):
+        ranked = index.lexical_topk(opened, queries_df, k, first)
+        found = {}
+        for r in ranked.orderBy("query_id", F.desc("score"), "doc_id").collect():
+            found.setdefault(r["query_id"], []).append(r["doc_id"])
+        assert found == {q: d for q, d in _top(expected, queries, k).items() if d}
+    asked = index.ask(opened, queries_df)
+    lows = {r["query_id"]: r["low"] for r in index.lowest_of(asked, first).collect()}
+    assert lows == pytest.approx({q: min(s for (qq, _), s in expected.items() if qq == q) for q, *_ in queries}, abs=1e-8)
+    pairs = spark.createDataFrame([(0, 3), (0, 500), (1, 104)], "query_id BIGINT, doc_id BIGINT")
+    known = {(r["query_id"], r["doc_id"]): r["score"] for r in index.score_pairs(asked, pairs).collect()}
+    assert known == pytest.approx({p: expected[p] for p in [(0, 3), (0, 500), (1, 104)] if p in expected}, abs=1e-8)
+    nothing = spark.createDataFrame([(1, "unheard"), (2, None)], "query_id BIGINT, text STRING")
+    assert index.lexical_topk(opened, nothing).isEmpty()
+
+
+def test_lexical_topk_skips_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index, "BLOCK_DOCS", 8)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["common", "word", "here"], k=30)) + (" rare rare rare" if i % 97 == 0 else ""), 30) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, length INT")
+    path = str(tmp_path / "index")
+    index.build_index(docs, path)
+    opened = index.open_index(spark, path)
+    queries = spark.createDataFrame([(1, "rare common")], "query_id BIGINT, text STRING")
+    scored, read = index.score_blocks, []
+    monkeypatch.setattr(index, "score_blocks", lambda asked, chosen: (read.append(chosen.count()), scored(asked, chosen))[1])
+    best = index.lexical_topk(opened, queries, 5)
+    assert {r["doc_id"] % 97 for r in best.collect()} == {0}
+    assert sum(read) < opened.n_blocks / 4
+
+
+@pytest.mark.parametrize("k", [2, 30])
+def test_hybrid_ranks_documents_and_queries_without_a_vector(corpus, spark, k):
+    docs, queries, docs_df, queries_df = corpus
+    has = F.col("doc_id") % 2 == 0
+    half = docs_df.withColumn("vector", F.when(has, F.col("vector"))).withColumn("text", F.when(F.col("doc_id") % 10 != 4, F.col("text")))
+    some = queries_df.withColumn("vector", F.when(F.col("query_id") != 2, F.col("vector"))).withColumn("text", F.when(F.col("query_id") != 3, F.col("text")))
+    texts = [(d, t if d % 10 != 4 else "", v) for d, t, v in docs]
+    lex = _bm25(texts, [q for q in queries if q[0] != 3])
+    sem = {p: s for p, s in _cosines(docs, queries).items() if p[1] % 2 == 0 and p[0] != 2}
+    expected = {}
+    for q, *_ in queries:
+        parts = []
+        for scores in (lex, sem):
+            own = {d: round(s, 9) for (qq, d), s in scores.items() if qq == q}
+            low, high = min(own.values(), default=0), max(own.values(), default=0)
+            parts.append({d: (s - low) / (high - low) if high > low else 1.0 for d, s in own.items()})
+        sums = {d: 0.2 * parts[0].get(d, 0.0) + 0.8 * parts[1].get(d, 0.0) for d in parts[0].keys() | parts[1].keys()}
+        expected[q] = [round(s, 6) for s in sorted(sums.values(), reverse=True)[:k]]
+    # lengths stay those of the whole texts in the corpus average, as the column says
+    lengths = half.withColumn("length", F.when(F.col("text").isNull(), 0).otherwise(F.col("length")))
+    found = {}
+    for r in retrieval.hybrid_topk(hybrid.hybrid_scores(lengths, some, k), k).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(round(r["score"], 6))
+    assert found.keys() == expected.keys()
+    for q in expected:
+        assert found[q] == pytest.approx(expected[q], abs=2e-6)
+
+
 def test_zero_vectors_score_zero(spark):
     docs = spark.createDataFrame([(1, "a b", 2, [0.0, 0.0]), (2, "a", 1, [1.0, 0.0])], "doc_id BIGINT, text STRING, length INT, vector ARRAY<DOUBLE>")
     queries = spark.createDataFrame([(1, "a", [1.0, 0.0])], "query_id BIGINT, text STRING, vector ARRAY<DOUBLE>")
-    scores = {r["doc_id"]: r["score"] for r in retrieval.semantic_scores(docs, queries).collect()}
+    scores = {r["doc_id"]: r["score"] for r in hybrid.semantic_scores(docs, queries).collect()}
     assert scores == {1: 0.0, 2: 1.0}
-    semantic = {r["doc_id"]: r["semantic"] for r in retrieval.hybrid_scores(docs, queries).collect()}
+    semantic = {r["doc_id"]: r["semantic"] for r in hybrid.hybrid_scores(docs, queries).collect()}
     assert semantic == {1: 0.0, 2: 1.0}
 
 
@@ -184,7 +300,7 @@ def test_hybrid_is_exact_for_the_first_k(corpus, k):
             a = (round(lex[q, d], 9) - min(lv)) / (max(lv) - min(lv)) if (q, d) in lex and max(lv) > min(lv) else 1.0 * ((q, d) in lex)
             b = (round(sem[q, d], 9) - min(sv)) / (max(sv) - min(sv))
             scores[q, d] = 0.2 * a + 0.8 * b
-    ranked = retrieval.hybrid_topk(retrieval.hybrid_scores(docs_df, queries_df, k), k)
+    ranked = retrieval.hybrid_topk(hybrid.hybrid_scores(docs_df, queries_df, k), k)
     found = {}
     for r in ranked.orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append(round(r["score"], 6))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.functions import text
-from gleaner.operators import retrieval
+from gleaner.operators import hybrid, index, retrieval
+from gleaner.session import scratch_dir
 
 from . import inputs as i
 from .registering import query
@@ -80,55 +81,61 @@ def lexical_score(spark, sf_dir):
 
 @query("semantic_score", f"WITH {SEMANTIC} SELECT query_id, doc_id, round(score, 6) AS score FROM nearest")
 def semantic_score(spark, sf_dir):
-    scores = retrieval.semantic_scores(_vectors(spark, sf_dir), _centroids(spark, sf_dir), 50)
+    scores = hybrid.semantic_scores(_vectors(spark, sf_dir), _centroids(spark, sf_dir), 50)
     return scores.withColumn("score", F.round("score", 6))
 
 
-# Documents that have a vector; queries are benchmark texts with the centroid of
-# the label of the same number.
+# Half of the documents have a vector; queries are benchmark texts, some with the
+# centroid of the label of the same number. A missing score counts 0.
 HYBRID = f"""
 {SEMANTIC},
-docs AS (
-  SELECT doc_id, text, {i.words_sql("text")} AS length FROM documents
-  WHERE doc_id IN (SELECT vec_id FROM embeddings)
-),
-queries AS (
-  SELECT item_id AS query_id, text FROM benchmark WHERE item_id IN (SELECT query_id FROM centroids)
-),
+{LEXICAL_INPUTS},
 {BM25},
-semantic2 AS (
-  SELECT s.* FROM semantic s SEMI JOIN docs d ON s.doc_id = d.doc_id
-  WHERE s.query_id IN (SELECT query_id FROM queries)
-),
+semantic2 AS (SELECT * FROM semantic WHERE query_id IN (SELECT query_id FROM queries)),
 lex_range AS (SELECT query_id, min(score) AS low, max(score) AS high FROM lexical GROUP BY query_id),
 sem_range AS (SELECT query_id, min(score) AS low, max(score) AS high FROM semantic2 GROUP BY query_id),
-pairs AS (
-  SELECT query_id, doc_id FROM lexical
-  UNION
-  SELECT query_id, doc_id FROM semantic2
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 50
+scaled_lexical AS (
+  SELECT query_id, doc_id, CASE WHEN high > low THEN (score - low) / (high - low) ELSE 1.0 END AS lexical
+  FROM lexical JOIN lex_range USING (query_id)
 ),
-hybrid AS (
-  SELECT p.query_id, p.doc_id, coalesce((l.score - lr.low) / (lr.high - lr.low), 0.0) AS lexical,
-    (s.score - sr.low) / (sr.high - sr.low) AS semantic
-  FROM pairs p LEFT JOIN lexical l USING (query_id, doc_id) LEFT JOIN lex_range lr ON p.query_id = lr.query_id
-    JOIN semantic2 s ON p.query_id = s.query_id AND p.doc_id = s.doc_id
-    JOIN sem_range sr ON p.query_id = sr.query_id
+scaled_semantic AS (
+  SELECT query_id, doc_id, CASE WHEN high > low THEN (score - low) / (high - low) ELSE 1.0 END AS semantic
+  FROM semantic2 JOIN sem_range USING (query_id)
 ),
-scored AS (SELECT *, 0.2 * lexical + 0.8 * semantic AS score FROM hybrid)
+scored AS (
+  SELECT query_id, doc_id, coalesce(lexical, 0.0) AS lexical, coalesce(semantic, 0.0) AS semantic,
+    0.2 * coalesce(lexical, 0.0) + 0.8 * coalesce(semantic, 0.0) AS score
+  FROM scaled_lexical FULL JOIN scaled_semantic USING (query_id, doc_id)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored QUALIFY rank <= 50
+)
 """
 
 
 def _hybrid(spark, sf_dir):
-    docs = _docs(spark, sf_dir).join(_vectors(spark, sf_dir), "doc_id")
-    queries = _queries(spark, sf_dir).join(_centroids(spark, sf_dir), "query_id")
-    return retrieval.hybrid_scores(docs, queries, 50)
+    docs = _docs(spark, sf_dir).join(_vectors(spark, sf_dir), "doc_id", "full_outer")
+    queries = _queries(spark, sf_dir).join(_centroids(spark, sf_dir), "query_id", "left")
+    return hybrid.hybrid_scores(docs.withColumn("length", F.coalesce("length", F.lit(0))), queries, 50)
+
+
+@query(
+    "lexical_topk",
+    f"""WITH {LEXICAL} SELECT query_id, doc_id, round(score, 6) AS score FROM lexical
+      QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 50""",
+)
+def lexical_topk(spark, sf_dir):
+    path = scratch_dir(spark, "index")
+    queries = _queries(spark, sf_dir)
+    index.build_index(_docs(spark, sf_dir), path, retrieval.query_terms(queries))
+    best = index.lexical_topk(index.open_index(spark, path), queries, 50)
+    return best.select("query_id", "doc_id", F.round("score", 6).alias("score"))
 
 
 @query(
     "hybrid_score",
     f"""WITH {HYBRID} SELECT query_id, doc_id, round(lexical, 6) AS lexical, round(semantic, 6) AS semantic,
-      round(score, 6) AS score FROM scored""",
+      round(score, 6) AS score FROM ranked""",
 )
 def hybrid_score(spark, sf_dir):
     rows = _hybrid(spark, sf_dir)
@@ -137,12 +144,7 @@ def hybrid_score(spark, sf_dir):
     )
 
 
-@query(
-    "hybrid_topk",
-    f"""WITH {HYBRID}, ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
-    SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 50""",
-)
+@query("hybrid_topk", f"WITH {HYBRID} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ranked")
 def hybrid_topk(spark, sf_dir):
     best = retrieval.hybrid_topk(_hybrid(spark, sf_dir), 50)
     return best.select(
@@ -159,7 +161,7 @@ def hybrid_topk(spark, sf_dir):
     SELECT query_id, doc_id, s AS score, rank FROM ranked WHERE rank <= 15""",
 )
 def rerank_cut(spark, sf_dir):
-    scores = retrieval.semantic_scores(_vectors(spark, sf_dir), _centroids(spark, sf_dir), 50)
+    scores = hybrid.semantic_scores(_vectors(spark, sf_dir), _centroids(spark, sf_dir), 50)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 120).cast("int"))
     dated = scores.withColumns({"score": F.round("score", 1), "published_ts": day})
     return retrieval.rerank_cut(dated).select(
