@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.functions import text
-from gleaner.operators import hybrid, index, retrieval
+from gleaner.operators import hybrid, index, nearest, retrieval
 from gleaner.session import scratch_dir
 
 from . import inputs as i
@@ -114,9 +114,13 @@ ranked AS (
 
 
 def _hybrid(spark, sf_dir):
-    docs = _docs(spark, sf_dir).join(_vectors(spark, sf_dir), "doc_id", "full_outer")
+    path = scratch_dir(spark, "hybrid")
+    vectors = _vectors(spark, sf_dir)
     queries = _queries(spark, sf_dir).join(_centroids(spark, sf_dir), "query_id", "left")
-    return hybrid.hybrid_scores(docs.withColumn("length", F.coalesce("length", F.lit(0))), queries, 50)
+    index.build_index(_docs(spark, sf_dir), f"{path}/text", retrieval.query_terms(queries))
+    nearest.build_vector_index(vectors, f"{path}/vectors")
+    text_index, vector_index = index.open_index(spark, f"{path}/text"), nearest.open_vector_index(spark, f"{path}/vectors")
+    return hybrid.merged_topk(text_index, vector_index, vectors, queries, 50)
 
 
 @query(
