@@ -254,7 +254,8 @@ def mixed_documents(
         F.flatten(F.transform("_cuts", lambda c: F.slice(parts, (c["low"] + 1).cast("int"), (c["high"] - c["low"]).cast("int")))), ""
     )
     taken_text = F.when(words == F.col("_words"), text).otherwise(F.btrim(some, F.lit(SPACES)))
-    joined = numbered.join(materialised(laps, "laps"), "_row").select("_doc", taken_text.alias("_text"))
+    # The same join at every size: sent to all tasks, the laps would grow with the table.
+    joined = numbered.join(laps.hint("merge"), "_row").select("_doc", taken_text.alias("_text"))
     counted = joined.select(F.col("_doc").withField("text", F.col("_text")).alias("_doc"), "_text")
     if "n_chars" in docs.columns:
         n_chars = F.length("_text").cast(docs.schema["n_chars"].dataType)

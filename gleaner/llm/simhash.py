@@ -263,4 +263,5 @@ def one_of_each(docs: DataFrame, words: int = 3, bits: int = 2, limit: int = NOD
     groups = fingerprint_groups(rows.select(F.col("_row").alias("doc_id"), "fp"), bits, limit)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
     kept = rows.join(groups, "fp").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return numbered.join(materialised(kept, "kept"), "_row", "left_semi").select("_doc.*")
+    # The same join at every size: sent to all tasks, the kept rows would grow with the table.
+    return numbered.join(kept.hint("merge"), "_row", "left_semi").select("_doc.*")
