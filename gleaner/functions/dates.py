@@ -149,7 +149,7 @@ def meta_date(html: Column) -> Column:
 
 
 def jsonld_date(html: Column) -> Column:
-    """Date from the first JSON-LD script whose first stated date parses."""
+    """Date from the first JSON-LD script outside comments whose first stated date parses."""
 
     def stated(item: Column) -> Column:
         names = ("datePublished", "dateCreated", "dateModified")
@@ -160,7 +160,8 @@ def jsonld_date(html: Column) -> Column:
         values = F.filter(F.transform(items, stated), lambda v: v.isNotNull())
         return parse_date(F.try_element_at(values, F.lit(1)))
 
-    scripts = F.regexp_extract_all(html, F.lit(_JSON_LD), F.lit(1))
+    shown = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
+    scripts = F.regexp_extract_all(shown, F.lit(_JSON_LD), F.lit(1))
     return F.try_element_at(F.filter(F.transform(scripts, of_script), lambda d: d.isNotNull()), F.lit(1))
 
 

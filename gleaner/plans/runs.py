@@ -108,6 +108,27 @@ def judged_pages(chosen: DataFrame, pages: DataFrame, catalog: DataFrame, params
     )
 
 
+def unified_run(
+    feeds: DataFrame,
+    listings: DataFrame,
+    pages: DataFrame,
+    catalog: DataFrame,
+    registry: DataFrame | None,
+    params: RunParams,
+    page_params: RunParams | None = None,
+    enrich: bool = False,
+) -> DataFrame:
+    """One run over all chosen sources: judged articles of feed and page sources together, for one commit.
+
+    ``catalog`` holds the sources that were chosen (``catalog.select_sources``).
+    Page sources may have parameters of their own. With ``enrich`` short feed
+    entries take the text of their landed page.
+    """
+    of_feeds = feed_run(feeds, catalog, registry, params, pages if enrich else None)
+    of_pages = page_run(listings, pages, catalog, registry, page_params or params)
+    return of_feeds.unionByName(of_pages, allowMissingColumns=True)
+
+
 def listing_targets(catalog: DataFrame) -> DataFrame:
     """Listing page of each page source, the input of a fetcher."""
     return catalogs.enabled_sources(catalog).where("method = 'html'").select(

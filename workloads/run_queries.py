@@ -13,7 +13,8 @@ from gleaner.operators.registry import unseen
 from gleaner.operators.skew import first_per_group
 from gleaner.functions.fields import retry_delay
 from gleaner.params import FilterParams
-from gleaner.plans.runs import feed_run, page_run
+from gleaner.plans.commit import commit_run, run_log
+from gleaner.plans.runs import feed_run, page_run, unified_run
 from gleaner.session import scratch_dir
 from gleaner.sources import tables
 from gleaner.streaming import ingest
@@ -288,18 +289,32 @@ page_judged AS (
 """
 
 
-def _page_run(spark, sf_dir):
+def _listings(spark, sf_dir):
     """Every page is announced by a listing fragment of its host."""
     url = F.col("url")
-    listings = i.pages(spark, sf_dir).select(
+    return i.pages(spark, sf_dir).select(
         urls.authority(url).alias("source_id"), "page_id",
         F.concat(F.lit('<li><a class="post" href="'), url, F.lit('">post</a></li>')).alias("html"),
     )
+
+
+def _page_run(spark, sf_dir):
     return page_run(
-        listings, i.pages(spark, sf_dir), i.site_catalog(spark, sf_dir), seen_pages(spark, sf_dir), PAGE_PARAMS
+        _listings(spark, sf_dir), i.pages(spark, sf_dir), i.site_catalog(spark, sf_dir), seen_pages(spark, sf_dir), PAGE_PARAMS
+    )
+
+
+def _unified_run(spark, sf_dir):
+    seen = _seen_entries(spark, sf_dir).select("source", "url").unionByName(seen_pages(spark, sf_dir).select("source", "url"))
+    return unified_run(
+        i.feeds(spark, sf_dir), _listings(spark, sf_dir), i.pages(spark, sf_dir), _whole_catalog(spark, sf_dir), seen, FEED_PARAMS, PAGE_PARAMS
     )
 
 
+def _whole_catalog(spark, sf_dir):
+    return i.feed_catalog(spark, sf_dir).unionByName(i.site_catalog(spark, sf_dir))
+
+
 @query(
     "page_run",
     f"""WITH {PAGE_RUN} SELECT id, source, url, title, author, tags, word_count,
@@ -320,9 +335,24 @@ def page_run_query(spark, sf_dir):
     UNION ALL SELECT source, id, 'html' FROM page_judged WHERE reason IS NULL""",
 )
 def scrape_all(spark, sf_dir):
-    both = [filters.accepted(run(spark, sf_dir)) for run in (_feed_run, _page_run)]
-    rows = [r.select("source", "id", F.col("metadata.scrape_method").alias("scrape_method")) for r in both]
-    return rows[0].unionByName(rows[1])
+    rows = filters.accepted(_unified_run(spark, sf_dir))
+    return rows.select("source", "id", F.col("metadata.scrape_method").alias("scrape_method"))
+
+
+@query(
+    "unified_report",
+    f"""WITH {FEED_RUN}, {PAGE_RUN},
+    taken AS (SELECT source FROM judged WHERE reason IS NULL UNION ALL SELECT source FROM page_judged WHERE reason IS NULL),
+    asked AS (SELECT source FROM documents UNION SELECT {i.HOST} FROM pages)
+    SELECT a.source, count(t.source) AS scraped, CAST(0 AS BIGINT) AS uploaded,
+      CAST(CASE WHEN count(t.source) = 0 THEN 1 ELSE 0 END AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS errors
+    FROM asked a LEFT JOIN taken t USING (source) WHERE a.source IS NOT NULL GROUP BY a.source""",
+)
+def unified_report(spark, sf_dir):
+    path = scratch_dir(spark, "unified") + "/store"
+    asked = [r["source_id"] for r in _whole_catalog(spark, sf_dir).select("source_id").distinct().collect() if r["source_id"]]
+    commit_run(_unified_run(spark, sf_dir), path, "run", replace(FEED_PARAMS, dry_run=True), sources=asked)
+    return metrics.source_counters(run_log(spark, path, "run")).where("source IS NOT NULL")
 
 
 # --- flagship --------------------------------------------------------------------
