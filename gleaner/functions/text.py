@@ -25,7 +25,10 @@ _MARKUP = (
     r"|<[!?][^>]*>"
 )
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_DROPPED = r"(?is)<(noscript|nav|footer|aside|header|form)\b[^>]*>.*?</\1\s*>"
+_BOILERPLATE = "noscript|nav|footer|aside|header|form"
+#: An element without another one of its kind inside; possessive, so a long one needs no deep stack.
+_INNERMOST = rf"(?is)<({_BOILERPLATE})\b[^>]*+>[^<]*+(?:<(?!/?(?:{_BOILERPLATE})\b)[^<]*+)*+</\1\s*+>"
+_DROPPED = rf"(?is)<({_BOILERPLATE})\b[^>]*>.*?</\1\s*>"
 #: The one group of an attribute's value, in double quotes, single quotes or none.
 VALUE = r"\s*=\s*[\"']?((?<=\")[^\"]*|(?<=')[^']*|(?<![\"'])[^\s\"'>]+)"
 _REGIONS = ("article", "main", "body")
@@ -124,11 +127,52 @@ def _inside_or(html: Column, tag: str, fallback: Column) -> Column:
 
 
 def _region(html: Column) -> Column:
-    """Inside of the article, else main, else body element, else everything."""
+    """Inside of the articles, else main, else body element, else everything."""
     chosen = html
     for tag in reversed(_REGIONS):
         chosen = _inside_or(html, tag, chosen)
-    return chosen
+    return let(chosen, _inside_articles)
+
+
+def _inside_articles(region: Column) -> Column:
+    """Without what stands between one article and the next.
+
+    ``region`` begins inside an article where it holds further article tags. It is
+    cut at these, and each piece is kept or not by the number of articles that are open there.
+    """
+    tags = r"(?i)<(/?)article\b[^>]*>"
+
+    def kept(pieces: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            closes = F.startswith(piece, F.lit("/"))
+            # the piece behind a tag begins with a slash where the tag closed an article
+            depth = state["depth"] + F.when(closes, -1).otherwise(1)
+            body = F.substr(piece, F.lit(2))
+            shown = F.when(depth > 0, F.concat(F.lit("\n"), body)).otherwise(F.lit(""))
+            return F.struct(depth.alias("depth"), F.concat(state["parts"], F.array(shown)).alias("parts"))
+
+        first = F.struct(F.lit(1).alias("depth"), F.array(F.element_at(pieces, 1)).alias("parts"))
+        done = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), first, step)
+        return F.array_join(done["parts"], "")
+
+    marked = F.regexp_replace(F.regexp_replace(region, tags, f"{_BREAK}$1 "), f"{_BREAK}/ ", f"{_BREAK}/")
+    several = region.rlike(r"(?is)</article\b[^>]*>.*<article\b")
+    return F.when(several, let(marked, lambda m: kept(F.split(m, _BREAK)))).otherwise(region)
+
+
+def _without_boilerplate(region: Column) -> Column:
+    """Without navigation, asides, headers, footers and forms, also where these stand inside each other.
+
+    Innermost elements go first, as often as elements begin; what is left unclosed
+    or crossed then goes up to the next end tag.
+    """
+
+    def drop(text: Column, _: Column) -> Column:
+        return F.when(text.rlike(_INNERMOST), F.regexp_replace(text, _INNERMOST, "")).otherwise(text)
+
+    begun = F.regexp_count(region, F.lit(rf"(?i)<(?:{_BOILERPLATE})\b"))
+    rounds = F.when(begun > 0, F.sequence(F.lit(1), begun)).otherwise(F.array().cast("array<int>"))
+    return F.regexp_replace(F.aggregate(rounds, region, drop), _DROPPED, "")
 
 
 def main_text(html: Column) -> Column:
@@ -139,7 +183,7 @@ def main_text(html: Column) -> Column:
     article drops nothing. Block tags become line breaks, and blank lines and
     repeated spaces collapse.
     """
-    region = F.regexp_replace(let(shown_markup(html), _region), _DROPPED, "")
+    region = let(let(shown_markup(html), _region), _without_boilerplate)
     lines = F.regexp_replace(F.regexp_replace(region, _BLOCK_TAG, "\n"), _ANY_TAG, "")
     spaced = F.regexp_replace(unescape(lines), _SPACES, " ")
     return joined_lines(F.transform(F.split(spaced, "\n"), lambda t: F.trim(t)))

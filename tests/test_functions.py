@@ -298,3 +298,26 @@ def test_markup_in_comments_and_scripts_is_not_read(value):
 def test_a_form_around_the_article_drops_nothing(value):
     page = "<body><form><nav>n</nav><article><p>a</p><form>f</form><p>b</p></article></form></body>"
     assert value(text.main_text(c("t")), t=page) == "a\nb"
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<article><p>a</p><aside>x<aside>y</aside>z</aside><p>b</p></article>", "a\nb"),
+        ("<article><nav>1<header>2<nav>3</nav>4</header>5</nav>text</article>", "text"),
+        ("<article><p>one</p></article><p>between</p><article class='x'><p>two</p></article><p>after</p>", "one\ntwo"),
+        ("<article>a<article>inner</article>b<article>other</article>c</article>", "a\ninner\nb\nother\nc"),
+        ("<body><form><main><p>in a form</p></main></form></body>", "in a form"),
+        ("<p>no body</p><nav>menu<aside>x</nav><p>more</p>", "no body\nmore"),
+        ("<p>no body</p><aside>never closed", "no body\nnever closed"),
+        ("<article><aside>" + "word <b>x</b> " * 30_000 + "</aside><p>kept</p></article>", "kept"),
+    ],
+)
+def test_main_text_of_nested_markup(value, html, expected):
+    assert value(text.main_text(F.col("html")), html=html) == expected
+
+
+def test_dates_in_commented_scripts_do_not_count(value):
+    script = '<script type="application/ld+json">{"datePublished": "%s"}</script>'
+    html = "<!-- " + script % "2020-01-01" + " -->" + script % "2025-02-03"
+    assert value(dates.jsonld_date(F.col("html")), html=html).startswith("2025-02-03")
