@@ -10,6 +10,7 @@ shuffled read seeks to the records it wants and no other.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,8 @@ LANE = 512
 FRAME = 16
 #: A file is closed once it holds this many payload bytes.
 FILE_BYTES = 32 << 20
+#: Records that a shuffled read fetches at once.
+SEEKS = 1024
 
 
 @cache
@@ -230,6 +233,73 @@ def read_records(files: DataFrame, id_type: str = "long", keep_ids: bool = True)
     return files.select("part", "file_no", "path", "index_path").mapInArrow(read, schema)
 
 
+def index_rows(files: DataFrame, id_type: str = "long") -> DataFrame:
+    """One narrow row per record of ``files``, from the index files alone: part, file_no, position, path, offset, length, width, doc_id."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                store, path = file_system(row["index_path"])
+                with store.open_input_file(path) as f:
+                    index = pq.read_table(f)
+                n = len(index)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n, row["part"], np.int32)), pa.array(np.full(n, row["file_no"], np.int32)),
+                        pa.array(np.arange(n)), pa.array([row["path"]] * n, pa.string()),
+                        *(index[c].combine_chunks() for c in ("offset", "length", "id_bytes", "doc_id")),
+                    ],
+                    names=["part", "file_no", "position", "path", "offset", "length", "width", "doc_id"],
+                )
+
+    schema = f"part int, file_no int, position long, path string, offset long, length long, width int, doc_id {id_type}"
+    return files.select("part", "file_no", "path", "index_path").mapInArrow(read, schema)
+
+
+def shuffled_records(files: DataFrame, seed: int = 0, parts: int | None = None, id_type: str = "long") -> DataFrame:
+    """All records once, in an order that the seed alone decides: turn, part, file_no, position, doc_id, ids.
+
+    Index rows are dealt to tasks and ordered by a hash of the seed and the record's
+    place; each task then seeks to its records and to no other. Rows ordered by
+    (turn, part, file_no, position) stand in the shuffled order; ``turn`` rises within a task.
+    """
+    parts = parts or max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = ["part", "file_no", "position"]
+    turned = index_rows(files, id_type).withColumn("turn", F.xxhash64(F.lit(seed), *place))
+    dealt = turned.repartition(parts, "turn").sortWithinPartitions("turn", *place)
+    return _sought(dealt.select("turn", *place, "path", "offset", "length", "width", "doc_id"), id_type)
+
+
+def chosen_records(files: DataFrame, chosen: DataFrame, id_type: str = "long") -> DataFrame:
+    """The records of ``files`` that ``chosen`` (part, file_no, position) names, in no order: columns as in ``shuffled_records``, turn 0."""
+    rows = index_rows(files, id_type).join(chosen.select("part", "file_no", "position").distinct(), ["part", "file_no", "position"])
+    columns = [F.lit(0).cast("long").alias("turn"), "part", "file_no", "position", "path", "offset", "length", "width", "doc_id"]
+    return _sought(rows.select(*columns), id_type)
+
+
+def _sought(rows: DataFrame, id_type: str) -> DataFrame:
+    """Index rows with the ids of their records; reads of a group go in the order of the files."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SEEKS):
+                some = batch.slice(at, SEEKS)
+                paths, offsets, lengths, widths = (some.column(c).to_pylist() for c in ("path", "offset", "length", "width"))
+                found: list[bytes] = [b""] * some.num_rows
+                order = sorted(range(some.num_rows), key=lambda k: (paths[k], offsets[k]))
+                for name, group in itertools.groupby(order, key=lambda k: paths[k]):
+                    store, path = file_system(name)
+                    with store.open_input_file(path) as f:
+                        for k in group:
+                            data = f.read_at(lengths[k] + FRAME, offsets[k])
+                            own = unframed(data, np.zeros(1, np.int64), np.array([lengths[k]], np.int64))[0]
+                            found[k] = np.frombuffer(own, f"<u{widths[k]}").astype("<u4").tobytes()
+                kept = ["turn", "part", "file_no", "position", "doc_id"]
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in kept), pa.array(found, pa.binary())], names=[*kept, "ids"])
+
+    return rows.mapInArrow(read, f"turn long, part int, file_no int, position long, doc_id {id_type}, ids binary")
+
+
 def file_starts(files: DataFrame) -> DataFrame:
     """(part, file_no, base): the ids in all files before; one row per file is all the window holds."""
     before = Window.partitionBy(F.lit(0)).orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)

@@ -216,3 +216,21 @@ def test_records_come_back_in_order(which, request, spark):
         start += len(ids) // 4
     found = records.token_table(spark, docs).orderBy("start").collect()
     assert [tuple(r) for r in found] == expected
+
+
+def test_shuffled_reads_give_every_record_once(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "FILE_BYTES", 20_000)
+    records.write_records(documents, str(tmp_path / "data")).write.parquet(str(tmp_path / "files"))
+    files = spark.read.parquet(str(tmp_path / "files"))
+    assert files.count() > 4
+    whole = {(r.part, r.file_no, r.position): (r.doc_id, bytes(r.ids)) for r in records.read_records(files).collect()}
+    orders = []
+    for seed, parts in ((1, 3), (1, 5), (2, 3)):
+        rows = records.shuffled_records(files, seed, parts).collect()
+        assert {(r.part, r.file_no, r.position): (r.doc_id, bytes(r.ids)) for r in rows} == whole and len(rows) == len(whole)
+        orders.append([r.doc_id for r in sorted(rows, key=lambda r: (r.turn, r.part, r.file_no, r.position))])
+    assert orders[0] == orders[1] != orders[2] and orders[0] != sorted(orders[0])
+    wanted = list(whole)[::7]
+    some = records.chosen_records(files, spark.createDataFrame(wanted, "part int, file_no int, position long")).collect()
+    assert {(r.part, r.file_no, r.position): (r.doc_id, bytes(r.ids)) for r in some} == {p: whole[p] for p in wanted}
+    assert records.shuffled_records(files.where("false")).collect() == []
