@@ -24,6 +24,7 @@ PART = re.compile(
 )
 PLAIN_WORD = re.compile(f" ?[{LETTERS}]+\\Z")
 #: Where a blank may touch other white space, a cut before it is not always one of the tokenizer's.
+RARE_BLANKS = ("\t", "\r", "\v", "\f")
 TOUCHING = ("  ", " \n", "\n ", "\t", "\r", "\v", "\f")
 
 #: What stands for a blank in the byte alphabet; ASCII letters stand for themselves.
@@ -68,7 +69,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = names_as_text
-        self.names = [] if names_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = {} if names_as_text else self.tokenizer.get_added_tokens_decoder()
+        self.named = {t.content: array("I", [token]).tobytes() for token, t in added.items()}
+        self.names = sorted(self.named, key=len, reverse=True)
+        self.cut_names = re.compile(f"({'|'.join(map(re.escape, self.names))})")
         self.model = self.tokenizer.model
         self.largest_id = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.bytes = _printable_bytes()
@@ -101,7 +105,12 @@ class Encoder:
             if not text:
                 yield b""
             elif any(name in text for name in self.names):
-                yield self._whole(text)
+                # the tokenizer cuts at names first; what lies between is a text of its own
+                cut = enumerate(self.cut_names.split(text))
+                yield b"".join(self.named[piece] if k % 2 else next(self.encode([piece])) for k, piece in cut)
+            elif self.folds and not any(t in text for t in RARE_BLANKS) and (text.isascii() or WIDE_SPACE.search(text) is None):
+                # all white space is alike, so words are remembered without what ends their line
+                yield b"".join(map(ids_of, text.replace("\n", " ").split(" ")))
             elif any(t in text for t in TOUCHING) or not (text.isascii() or WIDE_SPACE.search(text) is None):
                 yield self._ids(text)
             else:
