@@ -15,6 +15,7 @@ XML_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
 _REFERENCE = r"\A(#[0-9]{1,7}|#x[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 #: Characters that no XML document may hold.
 _FORBIDDEN = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\ufffe\\uffff]"
+_UNKNOWN = rf"&(?!(?:{'|'.join(XML_ENTITIES)});)|{_FORBIDDEN}"
 _COMMENT = r"(?s)<!--.*?-->"
 #: Elements whose content is text for a reader, whatever markup it holds.
 _CARRIERS = "content:encoded|content|summary|description|title"
@@ -77,7 +78,8 @@ def known_references(c: Column) -> Column:
 
         return let(F.regexp_extract(piece, _REFERENCE, 1), of_name)
 
-    return F.regexp_replace(_pieces(c, "&", mended), _FORBIDDEN, "")
+    # most texts hold nothing but what XML knows, and are only looked through
+    return F.when(c.rlike(_UNKNOWN), F.regexp_replace(_pieces(c, "&", mended), _FORBIDDEN, "")).otherwise(c)
 
 
 def carried_markup(entry: Column) -> Column:
@@ -90,7 +92,8 @@ def carried_markup(entry: Column) -> Column:
         return _upto(piece, _END, of_inner)
 
     marked = F.regexp_replace(F.regexp_replace(entry, _OPENS, f"$1{_BEGIN}"), _CLOSES, f"{_END}$1")
-    return F.replace(let(marked, lambda t: _pieces(t, _BEGIN, carried)), F.lit(_END), F.lit(""))
+    plain = F.replace(let(marked, lambda t: _pieces(t, _BEGIN, carried)), F.lit(_END), F.lit(""))
+    return F.when(entry.rlike(rf"{_OPENS}[^<]*<(?!/(?:{_CARRIERS})\s*>)"), plain).otherwise(entry)
 
 
 def unprefixed(entry: Column) -> Column:

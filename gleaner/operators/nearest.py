@@ -98,9 +98,9 @@ def build_vector_index(vectors: DataFrame, path: str, max_pivots: int | None = N
     blocks = ordered.mapInArrow(blocked, "cell long, near double, far double, n long, doc_ids array<long>, matrix binary")
     numbered = blocks.withColumn("block", F.monotonically_increasing_id())
     numbered.write.mode("overwrite").parquet(f"{path}/blocks")
-    frame = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(pivots)], "cell long, pivot array<double>")
-    frame.write.mode("overwrite").parquet(f"{path}/pivots")
-    spark.createDataFrame([(dims,)], "dims int").write.mode("overwrite").parquet(f"{path}/size")
+    # the zero cell has a row of its own, from which the number of dimensions is known without any pivot
+    rows_of = [(ZERO_CELL, [0.0] * dims), *((k, p.tolist()) for k, p in enumerate(pivots))]
+    spark.createDataFrame(rows_of, "cell long, pivot array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
 
 
 def _block(cell: int, held: list[tuple[float, int, bytes]]) -> pa.RecordBatch:
@@ -115,9 +115,9 @@ def _block(cell: int, held: list[tuple[float, int, bytes]]) -> pa.RecordBatch:
 
 
 def open_vector_index(spark: SparkSession, path: str) -> VectorIndex:
-    dims = spark.read.parquet(f"{path}/size").first()["dims"]
-    rows = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()
-    pivots = np.array([r["pivot"] for r in rows], np.float64).reshape(len(rows), dims)
+    rows = sorted(spark.read.parquet(f"{path}/pivots").collect(), key=lambda r: r["cell"])
+    dims = len(rows[0]["pivot"])
+    pivots = np.array([r["pivot"] for r in rows[1:]], np.float64).reshape(len(rows) - 1, dims)
     blocks = spark.read.parquet(f"{path}/blocks")
     found = blocks.groupBy("cell").agg(F.min("near").alias("near"), F.max("far").alias("far"), F.sum("n").alias("n")).collect()
     return VectorIndex(blocks, pivots, {r["cell"]: (r["near"], r["far"], r["n"]) for r in found}, dims)
@@ -168,11 +168,12 @@ def _cell_rows(index: VectorIndex, queries: DataFrame, k: int) -> DataFrame:
 
 
 def _scored(index: VectorIndex, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` of each (query, block) of ``pairs`` (query_id, block): query_id, doc_id, score."""
+    """The best ``k`` of each (query, block) of ``pairs`` (query_id, block): query_id, doc_id, score.
+
+    ``queries``: query_id, vector, group.
+    """
     dims = index.dims
-    groups = max(1, -(-queries.count() // QUERY_GROUP))
-    group = F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("_group")
-    grouped = pairs.join(queries, "query_id").groupBy("block", group)
+    grouped = pairs.join(queries, "query_id").groupBy("block", "group")
     groups = grouped.agg(F.collect_list("query_id").alias("query_ids"), F.collect_list("vector").alias("vectors"))
     met = groups.join(index.blocks.select("block", "doc_ids", "matrix"), "block").select("query_ids", "vectors", "doc_ids", "matrix")
 
@@ -213,7 +214,9 @@ def nearest(index: VectorIndex, queries: DataFrame, k: int = TOP_K) -> DataFrame
         return spark.createDataFrame([], _SCORED)
     asked = queries.where(F.size("vector") > 0).select(F.col("query_id").cast("long").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
     asked = materialised(asked, "asked")
-    cells = materialised(_cell_rows(index, asked, k), "bounds")
+    groups = max(1, -(-asked.count() // QUERY_GROUP))
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
+    cells = materialised(_cell_rows(index, asked.select("query_id", "vector"), k), "bounds")
     headers = index.blocks.select("cell", "block", "near", "far")
     found = materialised(_top(_scored(index, asked, cells.where("first").join(headers, "cell").select("query_id", "block"), k), k), "found")
     least = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
