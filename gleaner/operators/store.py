@@ -77,5 +77,9 @@ def clear_counts(articles: DataFrame, source: str) -> DataFrame:
     )
 
 
-def html_snapshots(articles: DataFrame) -> DataFrame:
-    return articles.where(F.col("content_html") != "").select("source", "id", "content_html")
+def html_snapshots(articles: DataFrame, newest_by: list[str] | None = None) -> DataFrame:
+    """Rows with a snapshot: source, id, content_html; of several with an id the one with the highest ``newest_by``."""
+    rows = articles.where(F.col("content_html") != "")
+    if newest_by:
+        rows = latest(rows, "id", [F.desc(c) for c in newest_by])
+    return rows.select("source", "id", "content_html")

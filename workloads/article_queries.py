@@ -383,9 +383,10 @@ def html_snapshots(spark, sf_dir):
     path = scratch_dir(spark, "snapshots") + "/store"
     with_html = F.when(F.col("url").contains("?"), F.col("html")).otherwise("")
     rows = i.pages(spark, sf_dir).select(
-        urls.authority(F.col("url")).alias("source"), F.col("url").alias("id"), with_html.alias("content_html")
+        urls.authority(F.col("url")).alias("source"), F.col("url").alias("id"), with_html.alias("content_html"), "page_id"
     )
-    tables.save_html_snapshots(rows, path, 1)
+    # a URL that was read twice: its later page is the newer version
+    tables.save_html_snapshots(rows, path, 1, newest_by=["page_id"])
     return tables.read_html_snapshots(spark, path).select("source", "id", "content_html")
 
 
