@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..params import TOP_K
 from ..session import materialised
-from .retrieval import B, DIGITS, K1, query_terms, terms
 from .skew import first_per_group
+from .terms import B, DIGITS, K1, query_terms, terms
 
 #: Documents of a block, and blocks that each query scores before it knows a threshold.
 BLOCK_DOCS, FIRST_BLOCKS = 256, 8

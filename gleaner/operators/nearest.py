@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..params import TOP_K
 from ..session import materialised
-from .retrieval import DIGITS
 from .skew import first_per_group
+from .terms import DIGITS
 
 #: At most so many pivots, bytes of a block's vectors, and queries that meet a block at once.
 MAX_PIVOTS, BLOCK_BYTES, QUERY_GROUP = 512, 2 << 20, 512

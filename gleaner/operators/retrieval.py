@@ -1,9 +1,9 @@
 """Batch search over the article table: lexical, semantic and hybrid ranking.
 
 Scores follow the published BM25 and cosine definitions. Documents carry a
-``length`` in words, so corpus averages read one narrow column. ``lexical_scores``
-gives every matching pair; ``index``, ``nearest`` and ``hybrid`` give the best of
-each query without scoring the rest.
+``length`` in words, so corpus averages read one narrow column. ``bags`` scores a
+batch of queries in one pass over the documents; ``index``, ``nearest`` and ``hybrid``
+give the best of each query from an index, without scoring the rest.
 """
 
 from __future__ import annotations
@@ -11,59 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..params import RERANK_THRESHOLD, RERANK_TOP_K, TOP_K
-from ..session import materialised
-from .skew import first_per_group, join_dimension
-
-K1 = 1.2
-B = 0.75
-TERM = r"[\pL\pN]+"
-DIGITS = 9
-
-
-def terms(text: Column) -> Column:
-    """Lower-case runs of letters and digits of any script."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-
-
-def query_terms(queries: DataFrame) -> DataFrame:
-    """Distinct (query_id, term) pairs."""
-    return queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-
-
-def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Occurrences of query terms per document: (doc_id, length, term, tf).
-
-    Only terms some query asks for leave the tokeniser, and counts are combined
-    before the shuffle because a document lies in one partition.
-    """
-    tokens = docs.select("doc_id", "length", F.explode(terms(F.col("text"))).alias("term"))
-    wanted = join_dimension(tokens, vocabulary, "term", "left_semi")
-    return wanted.groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
-
-
-def lexical_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """BM25 of every document that shares a term with a query.
-
-    ``docs``: doc_id, text, length. ``queries``: query_id, text.
-    """
-    wanted = query_terms(queries)
-    # read three times below: written once, so the texts are tokenised once
-    counts = materialised(term_counts(docs, wanted.select("term").distinct()), "terms")
-    corpus = docs.agg(
-        F.count("*").alias("n_docs"), (F.sum("length") / F.count("*")).alias("avg_length")
-    ).first()
-    n_docs, avg_length = corpus["n_docs"], float(corpus["avg_length"] or 1.0)
-
-    spread = counts.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = wanted.join(spread.select("term", idf.alias("idf")), "term")
-    matches = join_dimension(counts, weighted, "term")
-    norm = F.lit(K1) * (1 - B + B * F.col("length") / F.lit(avg_length))
-    score = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    totals = matches.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score"))
-    # rounding makes equal documents tie, whatever order their terms were added in
-    return totals.withColumn("score", F.round("score", DIGITS))
-
+from .bags import lexical_scores  # noqa: F401
+from .skew import first_per_group
+from .terms import B, DIGITS, K1, query_terms, terms  # noqa: F401
 
 def cosine(a: Column, b: Column) -> Column:
     def dot(x: Column, y: Column) -> Column:

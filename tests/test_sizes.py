@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from gleaner.operators import bags, hybrid
 from gleaner.sources import tables
 
+from .conftest import plan_of
+from .test_logs_and_search import _bm25, _top, corpus  # noqa: F401
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 
@@ -31,3 +35,47 @@ def test_an_id_that_a_run_holds_twice_keeps_its_newest_snapshot(spark, tmp_path)
         tables.save_html_snapshots(rows.repartition(4).sortWithinPartitions(order), path, 1, newest_by=["page_id"])
         kept = tables.read_html_snapshots(spark, path).select("id", "content_html").collect()
         assert sorted(map(tuple, kept)) == [("1", "<p>19"), ("2", "<p>a")]
+
+
+@pytest.mark.parametrize("group, cells", [(512, 1 << 20), (2, 64), (1, 1)])
+def test_one_pass_scores_like_brute_force(corpus, spark, monkeypatch, group, cells):
+    docs, queries, docs_df, queries_df = corpus
+    monkeypatch.setattr(bags, "QUERY_GROUP", group)
+    monkeypatch.setattr(bags, "MATRIX_CELLS", cells)
+    blank = spark.createDataFrame([(500, None, 0, None), (501, "", 0, None)], docs_df.schema)
+    expected = _bm25([*docs, (500, "", None), (501, "", None)], queries)
+    scores = bags.lexical_scores(docs_df.unionByName(blank), queries_df)
+    # words and pairs stay with their document: before, both were shuffled
+    assert "Exchange" not in plan_of(scores)
+    assert {(r["query_id"], r["doc_id"]): r["score"] for r in scores.collect()} == pytest.approx(expected, abs=1e-8)
+    for k in (6, 500):
+        ranked = bags.lexical_topk(docs_df.unionByName(blank), queries_df, k)
+        found = {}
+        for r in ranked.orderBy("query_id", F.desc("score"), "doc_id").collect():
+            found.setdefault(r["query_id"], []).append(r["doc_id"])
+        assert found == {q: d for q, d in _top(expected, queries, k).items() if d}
+    nothing = spark.createDataFrame([(1, "unheard"), (2, None)], "query_id BIGINT, text STRING")
+    assert bags.lexical_topk(docs_df, nothing).isEmpty() and bags.lexical_scores(docs_df.limit(0), queries_df).isEmpty()
+
+
+@pytest.mark.parametrize("k, group, cells", [(2, 512, 1 << 20), (30, 2, 64)])
+def test_one_pass_of_both_scores_is_the_merge_of_both_indexes(corpus, spark, monkeypatch, k, group, cells):
+    docs, queries, docs_df, queries_df = corpus
+    monkeypatch.setattr(bags, "QUERY_GROUP", group)
+    monkeypatch.setattr(bags, "MATRIX_CELLS", cells)
+    half = docs_df.withColumn("vector", F.when(F.col("doc_id") % 2 == 0, F.col("vector")))
+    some = queries_df.withColumn("vector", F.when(F.col("query_id") != 2, F.col("vector"))).withColumn(
+        "text", F.when(F.col("query_id") != 3, F.col("text"))
+    )
+    # vectors of documents without a text are ranked as well
+    extra = docs_df.limit(3).select((F.col("doc_id") + 9000).alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("length"), "vector")
+    whole = half.unionByName(extra.select(*half.columns))
+
+    def rows(ranked):
+        columns = ("query_id", "doc_id", "lexical", "semantic", "score")
+        return {(r["query_id"], r["doc_id"]): pytest.approx([r[c] for c in columns[2:]], abs=1e-8) for r in ranked.select(*columns).collect()}
+
+    found = rows(bags.hybrid_topk(whole.select("doc_id", "text", "length"), whole.select("doc_id", "vector"), some, k))
+    merged = hybrid.hybrid_scores(whole, some, k).collect()
+    assert len(merged) == len(found)
+    assert all([r["lexical"], r["semantic"], r["score"]] == found[r["query_id"], r["doc_id"]] for r in merged)

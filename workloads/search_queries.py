@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.functions import text
-from gleaner.operators import hybrid, index, nearest, retrieval
-from gleaner.session import scratch_dir
+from gleaner.operators import bags, hybrid, retrieval
 
 from . import inputs as i
 from .registering import query
@@ -114,13 +113,8 @@ ranked AS (
 
 
 def _hybrid(spark, sf_dir):
-    path = scratch_dir(spark, "hybrid")
-    vectors = _vectors(spark, sf_dir)
     queries = _queries(spark, sf_dir).join(_centroids(spark, sf_dir), "query_id", "left")
-    index.build_index(_docs(spark, sf_dir), f"{path}/text", retrieval.query_terms(queries))
-    nearest.build_vector_index(vectors, f"{path}/vectors")
-    text_index, vector_index = index.open_index(spark, f"{path}/text"), nearest.open_vector_index(spark, f"{path}/vectors")
-    return hybrid.merged_topk(text_index, vector_index, vectors, queries, 50)
+    return bags.hybrid_topk(_docs(spark, sf_dir), _vectors(spark, sf_dir), queries, 50)
 
 
 @query(
@@ -129,10 +123,7 @@ def _hybrid(spark, sf_dir):
       QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 50""",
 )
 def lexical_topk(spark, sf_dir):
-    path = scratch_dir(spark, "index")
-    queries = _queries(spark, sf_dir)
-    index.build_index(_docs(spark, sf_dir), path, retrieval.query_terms(queries))
-    best = index.lexical_topk(index.open_index(spark, path), queries, 50)
+    best = bags.lexical_topk(_docs(spark, sf_dir), _queries(spark, sf_dir), 50)
     return best.select("query_id", "doc_id", F.round("score", 6).alias("score"))
 
 
