@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from gleaner.operators import bags, hybrid
+from gleaner.operators import bags, feeds, hybrid
 from gleaner.sources import tables
 
 from .conftest import plan_of
@@ -79,3 +79,23 @@ def test_one_pass_of_both_scores_is_the_merge_of_both_indexes(corpus, spark, mon
     merged = hybrid.hybrid_scores(whole, some, k).collect()
     assert len(merged) == len(found)
     assert all([r["lexical"], r["semantic"], r["score"]] == found[r["query_id"], r["doc_id"]] for r in merged)
+
+
+def test_feeds_too_old_for_the_cap_are_not_parsed(spark, monkeypatch):
+    def body(n, *inside):
+        return "<rss>" + "".join(f"<item><link>https://e/{n}/{j}</link><title>{t}</title></item>" for j, t in enumerate(inside)) + "</rss>"
+
+    hidden = "<rss><!-- <item><link>https://e/no</link></item> --></rss>"
+    section = "<rss><x><![CDATA[ <item></item> ]]></x></rss>"
+    rows = [("s", at, body(at, "a", "b")) for at in range(1, 9)]
+    rows += [("s", 20, hidden), ("s", 21, section), ("s", 22, None), ("s", 23, ""), ("s", 8, body("8b", "a", "b", "c")), ("s", None, body("x", "a"))]
+    rows += [("few", 1, body("f", "a")), ("few", None, body("g", "a"))]
+    feeds_df = spark.createDataFrame(rows, "source_id STRING, at BIGINT, xml STRING").select(
+        "source_id", F.timestamp_seconds("at").alias("fetched_at"), "xml"
+    )
+    for n in (1, 2, 3, 5, 40):
+        whole = feeds.cap_entries(feeds.parse_feeds(feeds_df), n).select("source_id", F.unix_seconds("fetched_at").alias("at"), "pos")
+        capped = feeds.capped_entries(feeds_df, n).select("source_id", F.unix_seconds("fetched_at").alias("at"), "pos")
+        assert sorted(map(str, capped.collect())) == sorted(map(str, whole.collect()))
+    read = feeds.newest_feeds(feeds_df, 2).where("source_id = 's'").select(F.unix_seconds("fetched_at").alias("at"))
+    assert sorted(r["at"] for r in read.collect()) == [8, 8, 20, 21, 22, 23]
